@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from brinedeck.fixed_values import NOT_LOOKED_FOR
 from brinedeck.functions.missing import max_strict, not_in, sum_or_zero
 from brinedeck.functions.text import first_word, genus_species
-from brinedeck.operators.shuffle import every_combination, keep_all_samples
+from brinedeck.operators.shuffle import keep_all_samples
 
 
 def changed_in_log(log: DataFrame, level: str, taxon: str = "TaxonName", parent: str = "ParentName") -> DataFrame:
@@ -44,9 +44,20 @@ def first_start(affected: DataFrame, key: str, name: str, start: str) -> DataFra
     return affected.groupBy(name).agg(F.min_by(start, F.struct(key, start)).alias("_default_start"))
 
 
-def densify(samples: DataFrame, names: DataFrame, key: str) -> DataFrame:
-    """Every sample with every name of the change log."""
-    return every_combination(samples, names, key)
+def densify_lists(names: DataFrame, name: str, parts: int = 1, limit: int = 1_000_000) -> list[DataFrame]:
+    """The names of the change log with their default start, as one-row tables holding a list.
+
+    Used as scalar subqueries, so that every sample can be written out against
+    the list without a join.  A list is checked not to exceed ``limit`` names;
+    a longer log is cut by hash into more ``parts``.
+    """
+    entry = F.struct(F.col(name), F.col("_default_start").cast("timestamp_ntz").alias("_start"), F.lit(True).alias("_logged"))
+    checked = F.when(F.count(F.lit(1)) <= limit, F.sort_array(F.collect_list(entry))).otherwise(
+        F.raise_error(F.lit(f"more than {limit} names in a list; raise name_parts"))
+    )
+    return [
+        names.filter(F.pmod(F.xxhash64(name), F.lit(parts)) == i).agg(checked.alias("names")) for i in range(parts)
+    ]
 
 
 def apply_change_log(
@@ -66,6 +77,7 @@ def apply_change_log(
     plain_where: Column | None = None,
     affected_where: Column | None = None,
     plain_name: Column | None = None,
+    name_parts: int = 1,
 ) -> DataFrame:
     """Totals per sample and name under the presence rule of the change log.
 
@@ -78,64 +90,70 @@ def apply_change_log(
     after summing.  ``dims`` names the columns that identify a sample in the
     result where that is not its key.
     """
-    changed = changed_in_log(log, level, taxon)
-    slim = samples.select(key, date)
-
-    plain_rows = obs if plain_where is None else obs.filter(plain_where)
-    plain = (
-        not_in_change_log(plain_rows, changed, taxon)
-        .filter(F.col(name) != "")
-        .groupBy(key, name).agg(sum_or_zero(F.col(value)).alias(value))
-    )
+    logged = changed_in_log(log, level, taxon).select(taxon, F.lit(True).alias("_logged")).distinct()
+    rows = obs.join(logged.join(log.select(taxon, start), taxon), taxon, "left").withColumn(
+        "_logged", F.coalesce("_logged", F.lit(False))
+    ).filter(F.col(name) != "")
+    if plain_where is not None:
+        rows = rows.filter(F.col("_logged") | plain_where)
+    if affected_where is not None:
+        rows = rows.filter(~F.col("_logged") | affected_where)
     if plain_name is not None:
-        plain = plain.withColumn(name, plain_name)
-    plain = fill_missing_sample(slim.join(plain, key, "left"), name, value, placeholder)
-
-    affected_rows = obs if affected_where is None else obs.filter(affected_where)
-    affected = (
-        in_change_log(affected_rows, changed, taxon)
-        .filter(F.col(name) != "")
-        .join(log.select(taxon, start), taxon, "left")
-        .groupBy(key, start, name).agg(sum_or_zero(F.col(value)).alias(value))
+        rows = rows.withColumn(name, F.when(F.col("_logged"), F.col(name)).otherwise(plain_name))
+    totals = rows.groupBy(key, name, "_logged", start).agg(sum_or_zero(F.col(value)).alias(value))
+
+    recorded = F.when(F.col(start) > F.col(date), F.lit(NOT_LOOKED_FOR)).otherwise(F.col(value))
+    cells = totals.join(samples.select(key, date), key).groupBy(key, name).agg(
+        F.sum(F.when(~F.col("_logged"), F.col(value))).alias("plain"),
+        F.sum(F.when(F.col("_logged"), recorded)).alias("found"),
+    )
+    names = first_start(totals.filter("_logged"), key, name, start)
+    long = _presence(
+        samples, cells, names, key=key, date=date, name=name, value=value, placeholder=placeholder, name_parts=name_parts,
     )
-    long = _presence(slim, plain, affected, key=key, date=date, name=name, value=value, start=start)
-    long = long.join(samples, key)
-    if dims is None:
-        return long.select(*samples.columns, name, value)
-    return long.groupBy(*dims, name).agg(max_strict(F.col(value)).alias(value))
+    return long if dims is None else long.groupBy(*dims, name).agg(max_strict(F.col(value)).alias(value))
 
 
 def _presence(
-    samples: DataFrame, plain: DataFrame, affected: DataFrame, *, key: str, date: str, name: str, value: str, start: str,
+    samples: DataFrame, cells: DataFrame, names: DataFrame, *,
+    key: str, date: str, name: str, value: str, placeholder: str, name_parts: int,
 ) -> DataFrame:
-    """Combine unlogged totals, logged records and the all-samples grid of logged names.
+    """Every sample with every logged name, and with the other names found in it.
 
-    The three are stacked and reduced by one aggregation instead of joining the
-    grid to its records: the grid is by far the largest part and moves once.
-    After the sums a sample has at most one row per name, so clustering by
-    sample alone is even, and serves the join back to the samples.
+    The names found in a sample, at most a taxonomy, are packed into one map
+    per sample, so only records and samples are shuffled.  The grid of samples
+    and names, by far the largest table here, is written out row by row from
+    the packed samples and never moves.
     """
-    v, day = F.col(value), F.col(date)
-    none = F.lit(None).cast("double")
-    grid = densify(samples, first_start(affected, key, name, start), key)
-    begun = F.col("_default_start")
-    parts = [
-        plain.select(key, name, v.alias("_plain"), none.alias("_found"), none.alias("_absent"), F.lit(False).alias("_logged")),
-        affected.join(samples, key).select(
-            key, name, none.alias("_plain"), F.when(F.col(start) > day, F.lit(NOT_LOOKED_FOR)).otherwise(v).alias("_found"),
-            none.alias("_absent"), F.lit(True).alias("_logged"),
-        ),
-        grid.select(
-            key, name, none.alias("_plain"), none.alias("_found"),
-            F.when(begun > day, F.lit(NOT_LOOKED_FOR)).when(begun < day, F.lit(0.0)).alias("_absent"), F.lit(True).alias("_logged"),
-        ),
-    ]
-    totals = parts[0].unionByName(parts[1]).unionByName(parts[2]).repartition(key).groupBy(key, name).agg(
-        F.sum("_plain").alias("_plain"), F.sum("_found").alias("_found"), F.max("_absent").alias("_absent"), F.max("_logged").alias("_logged"),
+    packed = cells.groupBy(key).agg(
+        F.map_from_entries(F.collect_list(F.struct(F.col(name), F.struct("plain", "found")))).alias("_cells"),
+        F.max(F.col("plain").isNotNull()).alias("_any_plain"),
+    )
+    lists = {f"_names{i}": part for i, part in enumerate(densify_lists(names, name, name_parts))}
+    base = samples.join(packed, key, "left").withColumns({
+        "_cells": F.coalesce("_cells", F.expr("map()").cast("map<string,struct<plain:double,found:double>>")),
+        "_any_plain": F.coalesce("_any_plain", F.lit(False)),
+        **{c: part.scalar() for c, part in lists.items()},
+    })
+    def only_here(n: Column) -> Column:
+        listed = F.lit(False)
+        for c in lists:
+            listed = listed | F.array_contains(F.col(f"{c}.{name}"), n)
+        return ~listed
+
+    own = F.map_keys(F.map_filter("_cells", lambda n, cell: cell["plain"].isNotNull()))
+    own = F.when(F.col("_any_plain"), own).otherwise(F.array(F.lit(placeholder)))
+    unlogged = F.transform(
+        F.filter(own, only_here), lambda n: F.struct(n.alias(name), F.lit(None).cast("timestamp_ntz").alias("_start"), F.lit(False).alias("_logged"))
     )
-    logged = F.coalesce("_found", "_absent")
-    larger = F.when(~F.col("_logged"), F.col("_plain")).when(logged.isNotNull(), F.greatest(F.col("_plain"), logged))
-    return totals.select(key, name, larger.alias(value))
+    dense = base.select("*", F.inline(F.concat(*lists, unlogged)))
+
+    cell = F.element_at("_cells", F.col(name))
+    plain = F.coalesce(cell["plain"], F.when((F.col(name) == placeholder) & ~F.col("_any_plain"), F.lit(0.0)))
+    absent = F.when(F.col("_start") > F.col(date), F.lit(NOT_LOOKED_FOR)).when(F.col("_start") < F.col(date), F.lit(0.0))
+    known = F.coalesce(cell["found"], absent)
+    total = F.when(~F.col("_logged"), plain).when(known.isNotNull(), F.greatest(known, plain))
+    return dense.select(*samples.columns, name, total.alias(value))
 
 
 def group_totals(

@@ -226,9 +226,9 @@ def cell_trend(spark, d):
 
 
 def regrid_bins(spark, d):
-    ev = roles.events(spark, d).select(timefn.decimal_year(F.col("ts")).alias("t"), (F.col("value") % 100).alias("depth"), "value")
+    ev = roles.events(spark, d).select(timefn.decimal_year(F.col("ts")).alias("t"), (F.col("value") % 100).alias("depth"), F.floor("value").cast("double").alias("value"))
     return op.regrid_bins(ev, x="t", y="depth", value="value", nx=20, ny=25, y_range=(0.0, 100.0)).select(
-        "x_bin", "y_bin", r("value", 8).alias("value"))
+        "x_bin", "y_bin", "value")
 
 
 def monthly_spine(spark, d):
@@ -340,7 +340,7 @@ SQL = {
     "cell_trend": f"""select lon_idx, lat_idx, case when arg_min_null(v, vec_id) is not null then round(regr_slope(v, vec_id), 9) end as slope
       from (select *, case when value > -0.15 and value < 0.4 then value end as v from {GRID}) group by 1, 2""",
     "regrid_bins": f"""with e as (select {_DEC} as t, value % 100 as depth, value from events), b as (select min(t) as t0, max(t) as t1 from e)
-      select cast(least(floor((t - t0) * 20 / (t1 - t0)), 19) as integer) as x_bin, cast(least(floor(depth * 25 / 100.0), 24) as integer) as y_bin, round(avg(value), 8) as value
+      select cast(least(floor((t - t0) * 20 / (t1 - t0)), 19) as integer) as x_bin, cast(least(floor(depth * 25 / 100.0), 24) as integer) as y_bin, avg(floor(value)) as value
       from e, b group by 1, 2""",
     "monthly_spine": """with s as (select o_custkey, cast(unnest(generate_series(date_trunc('month', min(o_orderdate))::timestamp, date_trunc('month', max(o_orderdate))::timestamp, interval 1 month)) as date) as month from orders group by 1)
       select s.o_custkey, cast(s.month as varchar) as month, count(o_orderkey) as n from s left join orders o on o.o_custkey = s.o_custkey and date_trunc('month', o_orderdate) = s.month group by 1, 2""",

@@ -265,7 +265,8 @@ SQL = {
         cast(round_even((round_even((epoch_us(t) - epoch_us(timestamp '1800-01-01')) / 8.64e10, 0) - 66410) / 7.0, 0) as bigint) as cycle,
         strftime(t, '%Y%m%d') as d1, strftime(t, '%Y%m') as m1, strftime(t, '%m') as mny from e""",
     "local_to_utc": f"""with w as (select o_orderkey, o_orderdate + to_seconds(cast(o_custkey % 288 * 300 as integer)) as t, {_ZONE} as z from orders),
-      u as (select *, t at time zone z as utc from w)
+      v as (select *, t at time zone z as one from w),
+      u as (select *, case when (one - interval 1 hour) at time zone z = t then one - interval 1 hour else one end as utc from v)
       select o_orderkey, strftime(case when utc at time zone z <> t then (date_trunc('hour', t) at time zone z) at time zone 'UTC'
         else utc at time zone 'UTC' end, '%Y-%m-%d %H:%M:%S') as utc from u""",
     "utc_to_local": "select event_id, strftime(ts + interval 8 hours, '%Y-%m-%d %H:%M:%S') as perth from events",

@@ -31,17 +31,20 @@ def taxa(spark: SparkSession, d: str) -> DataFrame:
     missing-value rules have something to do.
     """
     line = table(spark, d, "lineitem")
-    part = table(spark, d, "part").select("p_partkey", "p_name", "p_brand", "p_type")
-    n = F.col("l_linenumber")
     second = F.split_part("p_name", F.lit(" "), F.lit(2))
+    part = table(spark, d, "part").select(
+        "p_partkey", "p_name", "p_brand", "p_type",
+        F.concat(second, F.lit(" small")).alias("p_species"), F.concat(F.lit("cf. "), second).alias("p_unsure"),
+    )
+    n, q = F.col("l_linenumber"), F.col("l_quantity")
     return line.join(part, line.l_partkey == part.p_partkey).select(
         F.col("l_orderkey").alias("trip"),
         F.col("p_name").alias("taxon"),
         F.when(n == 6, None).otherwise(F.col("p_brand")).alias("genus"),
-        F.when((n == 7) & (F.col("l_quantity") > 25), "spp.").when(n == 7, F.concat(F.lit("cf. "), second))
-        .when((n == 5) & (F.col("l_quantity") > 40), None).otherwise(F.concat(second, F.lit(" small"))).alias("species"),
+        F.when((n == 7) & (q > 25), "spp.").when(n == 7, F.col("p_unsure"))
+        .when((n == 5) & (q > 40), None).otherwise(F.col("p_species")).alias("species"),
         F.col("p_type").alias("grp"),
-        F.when(F.col("l_quantity") < 49, F.col("l_quantity")).alias("cells"),
+        F.when(q < 49, q).alias("cells"),
         F.when(F.col("l_discount") < 0.1, F.floor("l_extendedprice").cast("double")).alias("biovol"),
     )
 
