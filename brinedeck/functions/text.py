@@ -57,13 +57,17 @@ def binomial(genus: Column, species: Column) -> Column:
     return paste(genus, " ", first_word(species))
 
 
-def is_identified_species(species: Column, *, allow_slash: bool = True, allow_empty: bool = True) -> Column:
+def is_identified_species(
+    species: Column, *, allow_slash: bool = True, allow_empty: bool = True, allow_grp: bool = False,
+) -> Column:
     """Identified to species: not ``spp.``, not NULL, no ``cf.`` or ``grp`` mark.
 
     The patterns are regular expressions, so the dot of ``cf.`` stands for any
     character.
     """
-    ok = species.isNotNull() & (species != "spp.") & not_matches(species, "cf.") & not_matches(species, "grp")
+    ok = species.isNotNull() & (species != "spp.") & not_matches(species, "cf.")
+    if not allow_grp:
+        ok = ok & not_matches(species, "grp")
     if not allow_slash:
         ok = ok & not_matches(species, "/")
     if not allow_empty:

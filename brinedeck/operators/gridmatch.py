@@ -129,11 +129,12 @@ def match_altimetry(
 
 def bilinear_match(
     points: DataFrame, grid: DataFrame, *, lon: str, lat: str, lon_axis: RegularAxis, lat_axis: RegularAxis,
-    value: str = "value", out: str = "value", period: str | None = None,
+    values: Mapping[str, str], period: str | None = None,
 ) -> DataFrame:
     """Blend of the four nodes around each point; NULL if a needed node is missing.
 
-    A point on a node line is interpolated along the other axis only.
+    ``values`` maps output columns to grid columns, all blended from one
+    lookup.  A point on a node line is interpolated along the other axis only.
     """
     by = [period] if period else []
     located = points.withColumns({
@@ -146,23 +147,29 @@ def bilinear_match(
         for i in (1, 2) for j in (1, 2)
     ])
     nodes = located.select(*box).dropna(subset=box[-4:]).distinct().select(*box, F.inline(corners))
-    found = nodes.join(grid.select(*by, "lon_idx", "lat_idx", F.col(value).alias("_v")), [*by, "lon_idx", "lat_idx"])
+    found = nodes.join(
+        grid.select(*by, "lon_idx", "lat_idx", *[F.col(c).cast("double").alias(f"_v_{out}") for out, c in values.items()]),
+        [*by, "lon_idx", "lat_idx"],
+    )
     wide = found.groupBy(*box).agg(*[
-        F.max(F.when(F.col("corner") == c, nan_to_null(F.col("_v").cast("double")))).alias(f"_v{c}")
-        for c in ("11", "21", "12", "22")
+        F.max(F.when(F.col("corner") == c, nan_to_null(F.col(f"_v_{out}")))).alias(f"_{out}_{c}")
+        for out in values for c in ("11", "21", "12", "22")
     ])
-    blend = bilinear_blend(
-        F.col(lon), F.col(lat),
-        lon_axis.coord(F.col("_x1")), lon_axis.coord(F.col("_x2")),
-        lat_axis.coord(F.col("_y1")), lat_axis.coord(F.col("_y2")),
-        F.col("_v11"), F.col("_v21"), F.col("_v12"), F.col("_v22"),
-    )
-    return located.join(wide, box, "left").select(*points.columns, blend.alias(out))
+    blends = [
+        bilinear_blend(
+            F.col(lon), F.col(lat),
+            lon_axis.coord(F.col("_x1")), lon_axis.coord(F.col("_x2")),
+            lat_axis.coord(F.col("_y1")), lat_axis.coord(F.col("_y2")),
+            *[F.col(f"_{out}_{c}") for c in ("11", "21", "12", "22")],
+        ).alias(out)
+        for out in values
+    ]
+    return located.join(wide, box, "left").select(*points.columns, *blends)
 
 
 def regrid_linear(grid: DataFrame, target: DataFrame, *, lon: str, lat: str, lon_axis: RegularAxis, lat_axis: RegularAxis, value: str = "value") -> DataFrame:
     """Values of one lattice at the nodes of another by linear interpolation."""
-    return bilinear_match(target, grid, lon=lon, lat=lat, lon_axis=lon_axis, lat_axis=lat_axis, value=value, out=value)
+    return bilinear_match(target, grid, lon=lon, lat=lat, lon_axis=lon_axis, lat_axis=lat_axis, values={value: value})
 
 
 def lookup_cells(points: DataFrame, grid: DataFrame, keys: Mapping[str, Column], columns: Sequence[str]) -> DataFrame:

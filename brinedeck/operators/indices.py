@@ -141,3 +141,44 @@ def assemble_indices(base: DataFrame, features: Sequence[DataFrame], key: str) -
     for feature in features:
         out = out.join(feature, key, "left")
     return out
+
+
+def zoo_indices(
+    zoo: DataFrame, traits: DataFrame, *, key: str, taxon: str, value: str, copepod: Column,
+    size: str = "SIZE_AVE_MM", diet: str = "DIET", complete_over: Sequence[str] | None = None,
+) -> DataFrame:
+    """Total and copepod abundance, mean copepod length and diet share in one scan."""
+    complete_over = list(complete_over or [c for c in zoo.columns])
+    known = traits.select(taxon, F.col(size).alias("_size"), F.col(diet).alias("_diet"), F.lit(True).alias("_known"))
+    rows = zoo.join(known, taxon, "left").withColumn("_cope", F.coalesce(copepod, F.lit(False)))
+    n = F.col(value)
+    cope = F.col("_cope")
+    sized = cope & F.coalesce("_known", F.lit(False))
+    complete = sized & F.col("_diet").isNotNull()
+    for c in complete_over:
+        complete = complete & F.col(c).isNotNull()
+    cc = F.sum(F.when(complete & (F.col("_diet") == CARNIVORE_DIET), n))
+    co = F.sum(F.when(complete & (F.col("_diet") != CARNIVORE_DIET), n))
+    length = ratio(sum_or_zero(F.when(sized, F.col("_size") * n)), sum_or_zero(F.when(sized, n)))
+    return rows.groupBy(key).agg(
+        sum_or_zero(n).alias("ZoopAbundance_m3"),
+        _sum_where(cope, n).alias("CopeAbundance_m3"),
+        F.when(F.count_if(sized) > 0, length).alias("AvgTotalLengthCopepod_mm"),
+        ratio(co, co + cc).alias("HerbivoreCarnivoreCopepodRatio"),
+    )
+
+
+def phyto_sums(
+    phyto: DataFrame, *, key: str, group: str, cells: str, biovolume: str, unit: str = "L",
+    part: Sequence[str] = DIATOM_GROUPS, other: Sequence[str] = (DINOFLAGELLATE,),
+) -> DataFrame:
+    """Carbon, abundance, diatom share and mean cell volume in one scan."""
+    g, c, b = F.col(group), F.col(cells), F.col(biovolume)
+    p, o = _sum_where(is_in(g, part), c), _sum_where(is_in(g, other), c)
+    sized_cells = F.when(F.count_if(b.isNotNull() & c.isNull()) == 0, F.sum(F.when(b.isNotNull(), c)))
+    return phyto.groupBy(key).agg(
+        sum_strict(c * cell_carbon(g, b, c)).alias(f"PhytoBiomassCarbon_pg_{unit}"),
+        sum_or_zero(c).alias(f"AbundancePhyto_cells_{unit}"),
+        ratio(p, p + o).alias("DiatomDinoflagellateRatio"),
+        ratio(F.sum(b), sized_cells).alias("AvgCellVol_um3"),
+    )

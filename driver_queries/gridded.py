@@ -54,7 +54,7 @@ def _sst(spark, d):
 
 
 def bilinear_match(spark, d):
-    out = gridmatch.bilinear_match(roles.points(spark, d), _sst(spark, d), **XY, period="period", out="sst")
+    out = gridmatch.bilinear_match(roles.points(spark, d), _sst(spark, d), **XY, period="period", values={"sst": "value"})
     return out.select("pid", r("sst").alias("sst"))
 
 
