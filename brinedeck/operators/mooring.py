@@ -51,7 +51,7 @@ def series_file_name(series: DataFrame, *, site: str, depth: float, time: str, v
 
 def gridded_from_matrix(wide: DataFrame, time: str, depth_columns: list[str]) -> DataFrame:
     """Depth by time matrix to long rows, dropping missing values; depths come from the column names."""
-    long = wide.unpivot([time], depth_columns, "_depth", "value").filter(F.col("value").isNotNull())
+    long = wide.unpivot([time], [F.col(f"`{c}`") for c in depth_columns], "_depth", "value").filter(F.col("value").isNotNull())
     return long.select(time, F.col("_depth").cast("double").alias("depth"), F.col("value"))
 
 

@@ -41,11 +41,11 @@ def describe_measures(df: DataFrame, measures: Sequence[str], quantiles: Sequenc
     looked = long.filter("v is not null").join(
         F.broadcast(stats.select("measure", brackets.alias("_b"))), "measure"
     ).select("measure", "v", F.inline("_b"))
-    # below the bracket: one bucket; inside: by value; above: only the next value is of interest
+    # below and above the bracket only the value next to it is of interest; inside, every value
     place = F.when(F.col("v") < F.col("lo"), -1).when(F.col("v") <= F.col("hi"), 0).otherwise(1)
     inside_value = F.when(place == 0, F.col("v"))
     counted = looked.groupBy("measure", "q", "p", place.alias("_place"), inside_value.alias("_at")).agg(
-        F.count(F.lit(1)).alias("_n"), F.min("v").alias("_v")
+        F.count(F.lit(1)).alias("_n"), F.when(F.col("_place") < 0, F.max("v")).otherwise(F.min("v")).alias("_v")
     )
     line = W.partitionBy("measure", "q").orderBy("_place", "_at")
     upto = F.sum("_n").over(line.rowsBetween(W.unboundedPreceding, 0))
@@ -54,7 +54,7 @@ def describe_measures(df: DataFrame, measures: Sequence[str], quantiles: Sequenc
     )
     h = (F.col("n") - 1) * F.col("p")
     lower, upper = F.floor(h) + 1, F.ceil(h) + 1
-    quartiles = steps.filter("_place >= 0").groupBy("measure", "q").agg(
+    quartiles = steps.groupBy("measure", "q").agg(
         F.min(F.when(F.col("_upto") >= lower, F.col("_v"))).alias("_a"),
         F.min(F.when(F.col("_upto") >= upper, F.col("_v"))).alias("_c"),
         F.first(h - F.floor(h)).alias("_w"),
