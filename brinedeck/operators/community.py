@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 import numpy as np
@@ -55,11 +54,10 @@ def bray_curtis(long: DataFrame, *, key: str, taxon: str, value: str, tile: int
     rare one.
     """
     cells = cell_totals(long, key, taxon, value)
-    n = cells.select(key).distinct().count()
-    blocks = max(1, math.ceil(n / tile))
-    block = F.pmod(F.xxhash64(F.col(key)), F.lit(blocks)).cast("int")
+    blocks = cells.agg(F.greatest(F.ceil(F.count_distinct(key) / tile), F.lit(1)).alias("n")).scalar()
+    block = F.pmod(F.xxhash64(F.col(key)), blocks).cast("int")
     placed = cells.select(F.col(key).alias("k"), F.col(taxon).cast("string").alias("t"), F.col(value).cast("double").alias("v"), block.alias("blk"))
-    tiles = placed.withColumn("_o", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).select(
+    tiles = placed.withColumn("_o", F.explode(F.sequence(F.lit(0), (blocks - 1).cast("int")))).select(
         "k", "t", "v", "blk", F.least("blk", "_o").alias("ti"), F.greatest("blk", "_o").alias("tj")
     )
     key_type = cells.schema[key].dataType

@@ -65,16 +65,18 @@ def regrid_bins(
 ) -> DataFrame:
     """Mean of scattered values on an nx by ny grid of equal bins over the data range.
 
-    The ranges come from one aggregation unless given.  The upper edge belongs
-    to the last bin.
+    The ranges come from a scalar subquery unless given.  The upper edge
+    belongs to the last bin.
     """
-    if x_range is None or y_range is None:
-        x0, x1, y0, y1 = df.agg(F.min(x), F.max(x), F.min(y), F.max(y)).first()
-        x_range, y_range = x_range or (x0, x1), y_range or (y0, y1)
-
-    def bin_of(c: str, bounds: tuple[float, float], n: int) -> Column:
-        low, high = float(bounds[0]), float(bounds[1])
-        raw = F.floor((F.col(c) - F.lit(low)) * n / F.lit((high - low) or 1.0)).cast("int")
+    def bounds(c: str, given: tuple[float, float] | None) -> tuple[Column, Column]:
+        if given is not None:
+            return F.lit(float(given[0])), F.lit(float(given[1]))
+        found = df.agg(F.struct(F.min(c).cast("double").alias("low"), F.max(c).cast("double").alias("high"))).scalar()
+        return found["low"], found["high"]
+
+    def bin_of(c: str, given: tuple[float, float] | None, n: int) -> Column:
+        low, high = bounds(c, given)
+        raw = F.coalesce(F.floor(F.try_divide((F.col(c) - low) * n, high - low)), F.lit(0)).cast("int")
         return F.when(F.col(c).between(low, high), F.least(raw, F.lit(n - 1)))
 
     rows = df.select(*by, bin_of(x, x_range, nx).alias("x_bin"), bin_of(y, y_range, ny).alias("y_bin"), value)

@@ -31,16 +31,16 @@ def nearest_on_axis(points: DataFrame, axis: DataFrame, *, coord: str, axis_coor
     midpoints of its neighbours, entered once per bin it touches.  Points
     beyond the ends take the end node.
     """
-    ends = axis.agg(F.min(axis_coord), F.max(axis_coord)).first()
+    ends = axis.agg(F.struct(F.min(axis_coord).cast("double").alias("low"), F.max(axis_coord).cast("double").alias("high"))).scalar()
     nodes = _owned_intervals(axis, axis_coord, idx).withColumns({
-        "_lo": F.coalesce("_lo", F.lit(float(ends[0]) - 1.0)),
-        "_hi": F.coalesce("_hi", F.lit(float(ends[1]))),
+        "_lo": F.coalesce("_lo", ends["low"] - 1.0),
+        "_hi": F.coalesce("_hi", ends["high"]),
     })
     step = F.lit(float(bin_width))
     binned = nodes.withColumn(
         "_bin", F.explode(F.sequence(F.floor(F.col("_lo") / step), F.floor(F.col("_hi") / step)))
     )
-    clamped = F.greatest(F.least(F.col(coord), F.lit(float(ends[1]))), F.lit(float(ends[0])))
+    clamped = F.greatest(F.least(F.col(coord), ends["high"]), ends["low"])
     located = points.withColumn("_v", F.when(F.col(coord).isNotNull(), clamped)).withColumn("_bin", F.floor(F.col("_v") / step))
     owns = (located["_bin"] == binned["_bin"]) & (located["_v"] > binned["_lo"]) & (located["_v"] <= binned["_hi"])
     return located.join(binned, owns, "left").drop("_v", "_bin", "_lo", "_hi")

@@ -24,19 +24,6 @@ def salted_lookup(rows: DataFrame, lookup: DataFrame, keys: Sequence[str], sprea
     return salted.join(copies, [*keys, "_salt"], "left").drop("_salt")
 
 
-def every_combination(rows: DataFrame, labels: DataFrame, spread: str, blocks: int = 64) -> DataFrame:
-    """Each row with each label, as an equi-join on a block number.
-
-    Rows are hashed into ``blocks`` blocks and the labels repeated once per
-    block, so a task holds one block of rows and the label list.  The list is
-    meant to be short (a taxonomy), and is broadcast only if Spark measures it
-    under its threshold.
-    """
-    blocked = rows.withColumn("_block", F.pmod(F.xxhash64(F.col(spread)), F.lit(blocks)).cast("int"))
-    copies = labels.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    return blocked.join(copies, "_block").drop("_block")
-
-
 def keep_all_samples(samples: DataFrame, found: DataFrame, key: str) -> DataFrame:
     """Left join of samples to their raw rows, with the long side on the splittable side.
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from brinedeck.functions.axes import RegularAxis
 from brinedeck.operators import community, geo, grid, gridmatch, indices, matching, mooring, profile, summary
-from brinedeck.operators.shuffle import every_combination, left_join_nullsafe, ranked_in_buckets
+from brinedeck.operators.shuffle import left_join_nullsafe, ranked_in_buckets
 from tests.conftest import rows
 
 T0 = dt.datetime(2020, 1, 1)
@@ -235,5 +235,3 @@ def test_joins(spark):
     left = spark.createDataFrame([("a", None), ("b", 1)], "k string, d int")
     right = spark.createDataFrame([("a", None, 5), ("b", 2, 6)], "k string, d int, v int")
     assert rows(left_join_nullsafe(left, right, ["k", "d"])) == [("a", None, 5), ("b", 1, None)]
-    both = every_combination(spark.range(50), spark.range(3).withColumnRenamed("id", "label"), "id", blocks=7)
-    assert both.distinct().count() == both.count() == 150
