@@ -52,12 +52,15 @@ def decimal_year(ts: Column) -> Column:
     return F.year(ts) + (micros(ts) - F.unix_micros(start.cast("timestamp"))) / length
 
 
+def _span_key(ts: Column, first: Column, last: Column) -> Column:
+    """``YYYYdddYYYYddd`` from the first and last day of year of a period."""
+    year = F.year(ts).cast("string")
+    return F.concat(year, F.lpad(first.cast("string"), 3, "0"), year, F.lpad(last.cast("string"), 3, "0"))
+
+
 def month_key(ts: Column) -> Column:
     """``YYYYdddYYYYddd``: first and last day of year of the month."""
-    year = F.date_format(ts, "yyyy")
-    first = F.format_string("%03d", F.dayofyear(F.trunc(ts, "month")))
-    last = F.format_string("%03d", F.dayofyear(F.last_day(ts)))
-    return F.concat(year, first, year, last)
+    return _span_key(ts, F.dayofyear(F.trunc(ts, "month")), F.dayofyear(F.last_day(ts)))
 
 
 def composite8_bounds(ts: Column, mode: str = "calendar") -> tuple[Column, Column]:
@@ -83,9 +86,7 @@ def composite8_bounds(ts: Column, mode: str = "calendar") -> tuple[Column, Colum
 
 
 def composite8_key(ts: Column, mode: str = "calendar") -> Column:
-    start, end = composite8_bounds(ts, mode)
-    year = F.date_format(ts, "yyyy")
-    return F.concat(year, F.format_string("%03d", start), year, F.format_string("%03d", end))
+    return _span_key(ts, *composite8_bounds(ts, mode))
 
 
 def weekly_cycle(ts: Column) -> Column:
