@@ -53,6 +53,15 @@ def plankton_features(
     ]
 
 
+def _diet_of_complete_samples(table: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The diet share counts complete rows only, so a sample with a missing column of its own has none."""
+    complete = F.lit(True)
+    for c in columns:
+        complete = complete & F.col(c).isNotNull()
+    ratio = "HerbivoreCarnivoreCopepodRatio"
+    return table.withColumn(ratio, F.when(complete, F.col(ratio)))
+
+
 def _no_zoo_is_zero(table: DataFrame) -> DataFrame:
     return table.withColumn("ZoopAbundance_m3", F.coalesce("ZoopAbundance_m3", F.lit(0.0)))
 
@@ -63,7 +72,7 @@ def station_indices(
 ) -> DataFrame:
     """One row per trip: plankton indices, surface cast means, mixed layer, nutrients, surface pigment."""
     key = "TripCode"
-    base = trips.filter(F.col("Station") != excluded_station).drop("SampleType")
+    base = trips.filter(F.col("Station") != excluded_station)
     surface = ctd_surface(ctd, key, "Depth_m", {"CTD_SST_C": "Temperature_degC", "CTDChla_mgm3": "Chla_mgm3", "CTDSalinity_psu": "Salinity_psu"})
     layer = mixed_layer(
         ctd.filter(F.col(key).isNotNull()), trip=key, depth="Depth_m", temperature="Temperature_degC", salinity="Salinity_psu",
@@ -76,7 +85,8 @@ def station_indices(
     features = plankton_features(
         zoo, zoo_count, phyto, traits, key=key, zoo_value="ZAbund_m3", cells="Cells_L", biovolume="Biovolume_um3L", unit="L",
     )
-    return _no_zoo_is_zero(assemble_indices(base, [*features, surface, layer, nutrients, pigment], key))
+    out = assemble_indices(base, [*features, surface, layer, nutrients, pigment], key)
+    return _no_zoo_is_zero(_diet_of_complete_samples(out, trips.columns)).drop("SampleType")
 
 
 def tow_indices(
@@ -89,4 +99,5 @@ def tow_indices(
     )
     if props is not None:
         features = [props, *features]
-    return assemble_indices(samples, features, key)
+    own = [c for c in samples.columns if c not in ("Region", "PCI", "Biomass_mgm3")]
+    return _diet_of_complete_samples(assemble_indices(samples, features, key), own)

@@ -26,9 +26,9 @@ def bray_curtis_transformed(spark, d):
 
 
 def community_selection(spark, d):
-    """Sites of the first regions, without the taxa that have nothing there."""
+    """Samples of some years, without the taxa that have nothing then."""
     rows = roles.community(spark, d).withColumn("n", F.when(F.col("taxon").endswith("7"), F.lit(0.0)).otherwise(F.col("n")))
-    chosen = op.sqrt_transform(op.community(rows, taxon="taxon", value="n", where=F.col("site") < 10), "n")
+    chosen = op.sqrt_transform(op.community(rows, taxon="taxon", value="n", where=F.col("year").between(1996, 1999)), "n")
     return chosen.groupBy("taxon").agg(r(F.sum("n"), 4).alias("root_total"))
 
 
@@ -85,8 +85,8 @@ SQL = {
     "wisconsin": f"with {_SHARES} select site, taxon, round(n, 9) as share from shares",
     "bray_curtis": f"with {_CELLS}{_BRAY.format(t='cells')}",
     "bray_curtis_transformed": f"with {_SHARES}{_BRAY.format(t='shares')}",
-    "community_selection": f"""select taxon, round(sum(sqrt(n)), 4) as root_total from (select site, taxon, case when taxon like '%7' then 0 else n end as n from {COMMUNITY})
-      where site < 10 group by 1 having sum(n) <> 0""",
+    "community_selection": f"""select taxon, round(sum(sqrt(n)), 4) as root_total from (select year, taxon, case when taxon like '%7' then 0 else n end as n from {COMMUNITY})
+      where year between 1996 and 1999 group by 1 having sum(n) <> 0""",
     "env_fit": f"with {_SCORES} select variable, round(r2, 6) as r2, round(axis1, 6) as axis1, round(axis2, 6) as axis2 from {_fit_sql('long', '')}",
     "factor_fit": f"""with {_SCORES}, t as (select var_pop(u) + var_pop(v) as total from scores),
       l as (select label, count(*) as n, avg(u) as axis1, avg(v) as axis2, var_pop(u) + var_pop(v) as w from scores group by 1),

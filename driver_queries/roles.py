@@ -150,18 +150,18 @@ def events(spark: SparkSession, d: str) -> DataFrame:
 def community(spark: SparkSession, d: str) -> DataFrame:
     """Nations as samples, brands as taxa."""
     customer = table(spark, d, "customer").select("c_custkey", "c_nationkey")
-    orders = table(spark, d, "orders").select("o_orderkey", "o_custkey")
+    orders = table(spark, d, "orders").select("o_orderkey", "o_custkey", F.year("o_orderdate").alias("year"))
     line = table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
     part = table(spark, d, "part").select("p_partkey", "p_brand")
     return (
         line.join(orders, line.l_orderkey == orders.o_orderkey)
         .join(customer, F.col("o_custkey") == F.col("c_custkey"))
         .join(part, F.col("l_partkey") == F.col("p_partkey"))
-        .select(F.col("c_nationkey").alias("site"), F.col("p_brand").alias("taxon"), F.col("l_quantity").alias("n"))
+        .select(F.col("c_nationkey").alias("site"), F.col("p_brand").alias("taxon"), F.col("l_quantity").alias("n"), "year")
     )
 
 
 COMMUNITY = """(
-  select c_nationkey as site, p_brand as taxon, l_quantity as n
+  select c_nationkey as site, p_brand as taxon, l_quantity as n, year(o_orderdate) as year
   from lineitem join orders on l_orderkey = o_orderkey join customer on o_custkey = c_custkey join part on l_partkey = p_partkey
 )"""

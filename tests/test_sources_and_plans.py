@@ -15,7 +15,7 @@ from brinedeck.sources import readers, sinks
 from tests.conftest import rows
 
 TRIPS = """TRIP_CODE,PROJECTNAME,STATION,STATIONCODE,LATITUDE,LONGITUDE,SAMPLEDATELOCAL,BIOMASS_MGM3,SECCHI_M,SAMPLETYPE
-MAI20150101,NRS,Maria Island,MAI,-42.6,148.2,2015-01-01 10:00:00,5.5,,PZ
+MAI20150101,NRS,Maria Island,MAI,-42.6,148.2,2015-01-01 10:00:00,5.5,12,PZ
 PHB20191006,NRS,Port Hacking,PHB,-34.1,151.2,2019-10-06 02:30:00,,7,P
 YON20160101,NRS,Yongala,YON,-19.3,147.6,2016-01-01 10:00:00,1.0,,Z
 XXX20150101,SOTS,Other,SOTS,,,2015-01-01 10:00:00,,,P
@@ -94,7 +94,7 @@ def test_trips(spark, files):
     trips = readers.load_trips(spark, files("trips"))
     got = rows(trips.select("TripCode", "Year", "Time_24hr", F.date_format("SampleDateUTC", "yyyy-MM-dd HH:mm"), "Secchi_m"))
     assert got == [
-        ("MAI20150101", 2015, "10:00:00", "2014-12-31 23:00", None), ("PHB20191006", 2019, "02:30:00", "2019-10-05 16:00", 7.0),
+        ("MAI20150101", 2015, "10:00:00", "2014-12-31 23:00", 12.0), ("PHB20191006", 2019, "02:30:00", "2019-10-05 16:00", 7.0),
         ("YON20160101", 2016, "10:00:00", "2016-01-01 00:00", None),
     ]
 
