@@ -34,12 +34,12 @@ def nearest_times(
 
     times = left.select(station, F.col(left_ts).alias("_t")).filter("_t is not null").distinct()
     lefts = times.select(station, "_t", micros(F.col("_t")).alias("_us")).withColumn(
-        "_bucket", F.floor(F.col("_us") / width)
+        "_bucket", F.expr(f"_us div {width}")
     )
     rights = (
         right.select(station, F.col(right_ts).alias("_t")).filter("_t is not null").distinct()
         .select(station, "_t", micros(F.col("_t")).alias("_us"))
-        .withColumn("_home", F.floor(F.col("_us") / width))
+        .withColumn("_home", F.expr(f"_us div {width}"))
         .withColumn("_bucket", F.explode(F.array(F.col("_home") - 1, F.col("_home"), F.col("_home") + 1)))
     )
     line = lefts.select(station, "_bucket", "_us", "_t", F.lit(True).alias("_left")).unionByName(

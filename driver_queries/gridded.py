@@ -264,7 +264,7 @@ _BILINEAR = """select {ids}, case when count(g.value) = 4 then sum(g.value * (ca
   from box cross join (select unnest([1, 1, 2, 2]) as cx, unnest([1, 2, 1, 2]) as cy) c
   left join {grid} g on {on} g.lon_idx = case c.cx when 1 then x1 else x2 end and g.lat_idx = case c.cy when 1 then y1 else y2 end group by {ids}"""
 _CORNER_ROWS = ", ".join(f"({s}, {k}, {q}, {x}, {y})" for s, k, q, x, y in _CORNERS)
-_EDGES = f"""verts as (select n_name as region, ring, seq, dx + n_nationkey % 5 * 1.5 as x, dy + n_nationkey // 5 * 1.5 as y
+_EDGES = f"""verts as (select n_name as region, ring, seq, cast(dx + n_nationkey % 5 * 1.5 as double) as x, cast(dy + n_nationkey // 5 * 1.5 as double) as y
     from nation join (values {_CORNER_ROWS}) t(shape, ring, seq, dx, dy) on shape = n_nationkey % 3),
   edges as (select region, x as x1, y as y1, coalesce(lead(x) over w, first(x) over w) as x2, coalesce(lead(y) over w, first(y) over w) as y2
     from verts window w as (partition by region, ring order by seq)),
@@ -299,7 +299,7 @@ SQL = {
       g as (select * from {LAYERS} where product = 'sst'), b as ({_BILINEAR.format(ids='pid', grid='g', on='g.period = box.period and')})
       select pid, round(v, 6) as sst from b""",
     "regrid_linear": f"""with g as (select lon_idx, lat_idx, avg(value) as value from {GRID} group by all),
-      t as (select lon_idx + 0.5 as x, lat_idx * 0.75 as y from g),
+      t as (select cast(lon_idx + 0.5 as double) as x, cast(lat_idx * 0.75 as double) as y from g),
       box as (select *, floor(x) as x1, ceil(x) as x2, floor(y) as y1, ceil(y) as y2, x - floor(x) as wx, y - floor(y) as wy from t),
       b as ({_BILINEAR.format(ids='x, y', grid='g', on='')}) select x, y, round(v, 6) as value from b""",
     "bracket_match": f"""with g as (select * from {LAYERS} where product = 'sst')
