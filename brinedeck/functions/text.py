@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from brinedeck.functions.missing import not_matches, paste
+from brinedeck.functions.missing import paste
 
 
 def pad_left(value: Column, width: int, fill: str = "0") -> Column:
@@ -62,14 +62,13 @@ def is_identified_species(
 ) -> Column:
     """Identified to species: not ``spp.``, not NULL, no ``cf.`` or ``grp`` mark.
 
-    The patterns are regular expressions, so the dot of ``cf.`` stands for any
-    character.
+    ``cf.`` is a regular expression, so its dot stands for any character.
     """
-    ok = species.isNotNull() & (species != "spp.") & not_matches(species, "cf.")
+    ok = (species != "spp.") & ~species.rlike("cf.")
     if not allow_grp:
-        ok = ok & not_matches(species, "grp")
+        ok = ok & ~F.contains(species, F.lit("grp"))
     if not allow_slash:
-        ok = ok & not_matches(species, "/")
+        ok = ok & ~F.contains(species, F.lit("/"))
     if not allow_empty:
         ok = ok & (species != "")
     return F.coalesce(ok, F.lit(False))

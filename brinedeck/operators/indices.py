@@ -97,7 +97,8 @@ def diversity(
     any_group = None
     for where in groups.values():
         any_group = where if any_group is None else any_group | where
-    rows = obs.filter(any_group).withColumns({"_taxon": name, **{f"_in_{g}": groups[g] for g in labels}})
+    flags = {f"_in_{g}": F.lit(True) if len(labels) == 1 else groups[g] for g in labels}
+    rows = obs.filter(any_group).withColumns({"_taxon": name, **flags})
     per_taxon = rows.groupBy(key, "_taxon").agg(*[
         agg for g in labels for agg in (
             F.count_if(F.col(f"_in_{g}")).alias(f"_n_{g}"),
