@@ -4,7 +4,9 @@ import re
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from driver_queries import all_queries as queries
+from driver_queries import all_sql as oracle_sql
 from tools.compare import connect, difference
 
 SF = "/root/testdata/sf0.001"
