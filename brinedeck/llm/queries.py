@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from brinedeck.llm import binary_ids, packing
+from brinedeck.llm import binary_ids, mixing, packing, quality_rules, simhash
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -19,10 +19,26 @@ def op1_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), capacity=4096, end_id=1)
 
 
+def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed by source weights 5, 2, 1 with at most three epochs."""
+    return mixing.mix(_table(spark, sf_dir, "documents"), weights=(5.0, 2.0, 1.0), epochs=3.0)
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule statistics and verdict of all documents."""
+    found = quality_rules.quality_rules(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op8_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents (3-word shingles) and their classes within 2 bits."""
+    return simhash.simhash_groups(_table(spark, sf_dir, "documents"), shingle=3, radius=2)
+
+
 def op10_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as token ids in binary files, and what the files hold."""
     return binary_ids.token_id_files(_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), end_id=1)[1]
 
 
-QUERIES = {f.__name__: f for f in (op1_pack_sequences, op10_token_id_files)}
+QUERIES = {f.__name__: f for f in (op1_pack_sequences, op3_mix_sources, op6_quality_rules, op8_simhash_groups, op10_token_id_files)}
 SQL: dict[str, str] = {}
