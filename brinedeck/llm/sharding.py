@@ -40,33 +40,36 @@ def _moves(counts: list[int], wanted: dict[tuple[int, int], int], room: int) ->
     return {k: v for k, v in allowed.items() if v}
 
 
-def propagate(members: DataFrame, links: DataFrame, shards: int, rounds: int = 8) -> DataFrame:
+def propagate(members: DataFrame, links: DataFrame, shards: int, rounds: int = 8, slack: float = 0.25) -> DataFrame:
     """(member, shard) after balanced label propagation.
 
     ``members`` has member (0 to n - 1, once each) and shard; ``links`` has (member, link): all members of a
-    link are linked. The quota of a shard holds for its linked members: the others have nothing to
-    lose and make room in ``even_out``.
+    link are linked. A shard's quota, its even share and ``slack`` of it, holds for its linked
+    members: the others have nothing to lose, and ``even_out`` moves what is over as whole groups but one.
+    Full shards are no goal.
     """
     state = members
     common = links.groupBy("link").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     links = settle(links.join(common, "link").select("member", "link", "n"))
     total = state.count()
-    room = total // shards
+    room = int(total / shards * (1 + slack))
     large = max(2, total // (shards * 64))  # a link larger than this may move in parts
     for _ in range(rounds):
         placed = settle(links.join(state, "member"))
+        linked = placed.select("member", "shard").distinct().groupBy("shard").agg(F.count(F.lit(1)).alias("n"))
+        sizes = {r["shard"]: r["n"] for r in linked.collect()}  # one row per shard
+        full = [s for s in range(shards) if sizes.get(s, 0) >= room]
         votes = placed.groupBy("link", "shard").agg(F.count(F.lit(1)).alias("votes"))
         ballots = votes.groupBy("link").agg(F.collect_list(F.struct(F.col("shard").alias("to"), "votes")).alias("ballot"))  # at most ``shards`` entries
         heard = placed.join(ballots, "link").select("member", "shard", "link", "n", F.inline("ballot"))
         sums = heard.groupBy("member", "shard", "to").agg(F.sum("votes").alias("votes"), F.max(F.struct("votes", "link", "n")).alias("unit"))
         rank = F.struct("votes", F.xxhash64("unit.link", "to"))
+        sums = sums.filter(~F.col("to").isin(full) | (F.col("to") == F.col("shard")))
         wish = sums.groupBy("member", "shard").agg(F.max_by(F.struct("to", "unit"), rank).alias("best"))
         unit = F.when(F.col("best.unit.n") > large, F.xxhash64("member")).otherwise(F.xxhash64("best.unit.link"))
         movers = settle(wish.filter("best.to <> shard").select("member", "shard", F.col("best.to").alias("to"), F.pmod(unit, F.lit(BUCKETS)).cast("int").alias("bucket")))
         by_bucket = movers.groupBy("shard", "to", "bucket").agg(F.count(F.lit(1)).alias("n"))
         wanted = {(r["shard"], r["to"]): r["n"] for r in by_bucket.groupBy("shard", "to").agg(F.sum("n").alias("n")).collect()}  # at most shards squared rows
-        linked = placed.select("member", "shard").distinct().groupBy("shard").agg(F.count(F.lit(1)).alias("n"))
-        sizes = {r["shard"]: r["n"] for r in linked.collect()}  # one row per shard
         allowed = _moves([sizes.get(s, 0) for s in range(shards)], wanted, room)
         if not allowed:
             break
