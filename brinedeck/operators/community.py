@@ -51,9 +51,10 @@ def bray_curtis(long: DataFrame, *, key: str, taxon: str, value: str, tile: int
     each sample's taxa go to the tiles of its row and column, and a task fills
     one tile from two blocks of about ``tile`` samples.  No pair is ever formed
     through a shared taxon, so a taxon found everywhere costs no more than a
-    rare one.
+    rare one.  A sample without any usable record is in its pairs as an empty one.
     """
-    cells = cell_totals(long, key, taxon, value)
+    every = long.select(key).dropna().distinct().select(key, F.lit(None).cast("string").alias(taxon), F.lit(None).cast("double").alias(value))
+    cells = cell_totals(long, key, taxon, value).select(key, F.col(taxon).cast("string").alias(taxon), F.col(value).cast("double").alias(value)).unionByName(every)
     blocks = cells.agg(F.greatest(F.ceil(F.count_distinct(key) / tile), F.lit(1)).alias("n")).scalar()
     block = F.pmod(F.xxhash64(F.col(key)), blocks).cast("int")
     placed = cells.select(F.col(key).alias("k"), F.col(taxon).cast("string").alias("t"), F.col(value).cast("double").alias("v"), block.alias("blk"))
@@ -69,13 +70,14 @@ def bray_curtis(long: DataFrame, *, key: str, taxon: str, value: str, tile: int
 
 def _tile_dissimilarity(pdf: pd.DataFrame) -> pd.DataFrame:
     ti, tj = pdf["ti"].iloc[0], pdf["tj"].iloc[0]
-    taxa = pd.Index(pdf["t"].unique())
+    taxa = pd.Index(pdf["t"].dropna().unique())
     sides = []
     for blk in (ti, tj):
         side = pdf[pdf["blk"] == blk]
         keys = np.sort(side["k"].unique())
         dense = np.zeros((len(keys), len(taxa)))
-        dense[np.searchsorted(keys, side["k"].to_numpy()), taxa.get_indexer(side["t"])] = side["v"].to_numpy()
+        real = side[side["t"].notna()]
+        dense[np.searchsorted(keys, real["k"].to_numpy()), taxa.get_indexer(real["t"])] = real["v"].to_numpy()
         sides.append((keys, dense))
     (ka, va), (kb, vb) = sides
     out = []

@@ -63,24 +63,32 @@ def regrid_bins(
     df: DataFrame, *, x: str, y: str, value: str, nx: int = 200, ny: int = 200,
     by: Sequence[str] = (), x_range: tuple[float, float] | None = None, y_range: tuple[float, float] | None = None,
 ) -> DataFrame:
-    """Mean of scattered values on an nx by ny grid of equal bins over the data range.
+    """Mean of scattered values on an nx by ny grid of equal bins over the range of each ``by`` group.
 
-    The ranges come from a scalar subquery unless given.  The upper edge
-    belongs to the last bin.
+    One aggregation finds the ranges that are not given; it meets the rows by
+    group.  The upper edge belongs to the last bin.
     """
-    def bounds(c: str, given: tuple[float, float] | None) -> tuple[Column, Column]:
-        if given is not None:
-            return F.lit(float(given[0])), F.lit(float(given[1]))
-        found = df.agg(F.struct(F.min(c).cast("double").alias("low"), F.max(c).cast("double").alias("high"))).scalar()
-        return found["low"], found["high"]
+    asked = [c for c, given in ((x, x_range), (y, y_range)) if given is None]
+    rows = df.select(*by, x, y, value)
+    if asked:
+        ends = [f(c).cast("double").alias(f"_{end}_{c}") for c in asked for f, end in ((F.min, "low"), (F.max, "high"))]
+        if by:
+            found = df.groupBy(*[F.col(c).alias(f"_by_{c}") for c in by]).agg(*ends)
+            same = None
+            for c in by:
+                one = F.col(c).eqNullSafe(F.col(f"_by_{c}"))
+                same = one if same is None else same & one
+            rows = rows.join(found, same)
+        else:
+            rows = rows.withColumn("_ends", df.agg(F.struct(*ends)).scalar()).select(*rows.columns, "_ends.*")
 
     def bin_of(c: str, given: tuple[float, float] | None, n: int) -> Column:
-        low, high = bounds(c, given)
+        low, high = (F.col(f"_low_{c}"), F.col(f"_high_{c}")) if given is None else (F.lit(float(given[0])), F.lit(float(given[1])))
         raw = F.coalesce(F.floor(F.try_divide((F.col(c) - low) * n, high - low)), F.lit(0)).cast("int")
         return F.when(F.col(c).between(low, high), F.least(raw, F.lit(n - 1)))
 
-    rows = df.select(*by, bin_of(x, x_range, nx).alias("x_bin"), bin_of(y, y_range, ny).alias("y_bin"), value)
-    return rows.dropna().groupBy(*by, "x_bin", "y_bin").agg(F.avg(value).alias(value))
+    binned = rows.select(*by, bin_of(x, x_range, nx).alias("x_bin"), bin_of(y, y_range, ny).alias("y_bin"), value)
+    return binned.dropna(subset=["x_bin", "y_bin", value]).groupBy(*by, "x_bin", "y_bin").agg(F.avg(value).alias(value))
 
 
 def monthly_spine(df: DataFrame, *, by: Sequence[str], time: str, out: str = "month") -> DataFrame:

@@ -3,7 +3,9 @@
 A grid is one row per (product, period, lon_idx, lat_idx).  Points get their
 cell as integer columns; the distinct cells are matched to the grid with an
 equi-join and the result goes back to the points, so that many samples at one
-station cost the grid side one lookup, and only the needed periods are read.
+station cost the grid side one lookup.  The points' distinct periods, a set that
+the calendar bounds, filter the grid as a subquery: where the grid is stored by
+period, only those folders are opened, whatever kind of join is chosen.
 """
 
 from __future__ import annotations
@@ -56,6 +58,14 @@ def _owned_intervals(axis: DataFrame, axis_coord: str, idx: str) -> DataFrame:
     )
 
 
+def only_periods(grid: DataFrame, points: DataFrame, *periods: str) -> DataFrame:
+    """Rows of ``grid`` in the periods (one or more columns together) that ``points`` have."""
+    if not periods:
+        return grid
+    wanted = points.select(F.struct(*[F.col(p).cast(grid.schema[p].dataType).alias(p) for p in periods]).alias("p")).agg(F.collect_set("p"))
+    return grid.filter(F.array_contains(wanted.scalar(), F.struct(*periods)))
+
+
 def match_grid(
     points: DataFrame, grid: DataFrame, *, lon: str, lat: str, lon_axis: RegularAxis, lat_axis: RegularAxis,
     products: Mapping[str, str], period: str | None = None, res_spat: int = 1, value: str = "value",
@@ -81,7 +91,7 @@ def match_grid(
             .filter(F.col("lon_idx").between(0, lon_axis.size - 1) & F.col("lat_idx").between(0, lat_axis.size - 1))
             .drop("_dx", "_dy")
         )
-    layers = grid.filter(F.col("product").isin(*products.values()))
+    layers = only_periods(grid.filter(F.col("product").isin(*products.values())), points, *by)
     means = window.join(layers, [*by, "lon_idx", "lat_idx"]).groupBy(*by, "_x", "_y").agg(*[
         F.avg(nan_to_null(F.when(F.col("product") == name, F.col(value)))).alias(out)
         for out, name in products.items()
@@ -92,16 +102,20 @@ def match_grid(
 def match_altimetry(
     points: DataFrame, grid: DataFrame, *, lon: str, lat: str, lon_axis: RegularAxis, lat_axis: RegularAxis,
     year: str, doy: str, grid_doy: str = "slice_doy",
-    measures: Sequence[str] = ("GSLA", "GSL", "UCUR", "VCUR"), res_spat: int = 1,
+    measures: Sequence[str] = ("GSLA", "GSL", "UCUR", "VCUR"), res_spat: int = 1, slices: DataFrame | None = None,
 ) -> DataFrame:
     """Sea-level and current measures of the slice nearest in day of year within the point's year.
 
     The earlier slice wins a tie.  ``Longitude_Actual`` and ``Latitude_Actual``
     are the coordinates of the first cell of the window (the cell itself for a
     single cell).  A year has at most 366 slices, which bounds the slice search.
+    ``slices`` is the calendar of the grid (year, day of slice); without it the
+    calendar is read from the grid's two columns in the points' years, which
+    are folder names where the grid is stored by them.
     """
     located = with_cell(points, lon, lat, lon_axis, lat_axis)
-    slices = grid.select(year, grid_doy).distinct()
+    if slices is None:
+        slices = only_periods(grid, points, year).select(year, grid_doy).distinct()
     gap = F.abs(F.col(doy) - F.col(grid_doy))
     nearest = (
         points.select(year, doy).distinct().join(slices, year)
@@ -117,7 +131,8 @@ def match_altimetry(
         .select(*by, "_x", "_y", (F.col("_x") + F.col("_dx")).alias("lon_idx"), (F.col("_y") + F.col("_dy")).alias("lat_idx"))
         .filter(F.col("lon_idx").between(0, lon_axis.size - 1) & F.col("lat_idx").between(0, lat_axis.size - 1))
     )
-    means = window.join(grid, [*by, "lon_idx", "lat_idx"]).groupBy(*by, "_x", "_y").agg(
+    layers = only_periods(grid, nearest, *by)
+    means = window.join(layers, [*by, "lon_idx", "lat_idx"]).groupBy(*by, "_x", "_y").agg(
         *[F.avg(nan_to_null(F.col(m))).alias(m) for m in measures]
     )
     return located.join(means, [*by, "_x", "_y"], "left").select(
@@ -148,7 +163,7 @@ def bilinear_match(
     ])
     nodes = located.select(*box).dropna(subset=box[-4:]).distinct().select(*box, F.inline(corners))
     found = nodes.join(
-        grid.select(*by, "lon_idx", "lat_idx", *[F.col(c).cast("double").alias(f"_v_{out}") for out, c in values.items()]),
+        only_periods(grid, points, *by).select(*by, "lon_idx", "lat_idx", *[F.col(c).cast("double").alias(f"_v_{out}") for out, c in values.items()]),
         [*by, "lon_idx", "lat_idx"],
     )
     wide = found.groupBy(*box).agg(*[
@@ -172,11 +187,18 @@ def regrid_linear(grid: DataFrame, target: DataFrame, *, lon: str, lat: str, lon
     return bilinear_match(target, grid, lon=lon, lat=lat, lon_axis=lon_axis, lat_axis=lat_axis, values={value: value})
 
 
-def lookup_cells(points: DataFrame, grid: DataFrame, keys: Mapping[str, Column], columns: Sequence[str]) -> DataFrame:
-    """Left equi-join of points to grid cells by computed key columns."""
-    located = points.withColumns({f"_k_{k}": c for k, c in keys.items()})
-    cells = grid.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *columns)
-    return located.join(cells, [f"_k_{k}" for k in keys], "left").select(*points.columns, *columns)
+def lookup_cells(points: DataFrame, grid: DataFrame, keys: Mapping[str, Column], columns: Sequence[str], period: str | None = None) -> DataFrame:
+    """Left equi-join of points to grid cells by computed key columns.
+
+    The distinct cells are looked up and the few rows found go back to the
+    points; ``period`` names the key by which the grid is stored.
+    """
+    by = [f"_k_{k}" for k in keys]
+    located = points.withColumns(dict(zip(by, keys.values(), strict=True)))
+    layers = only_periods(grid, points, period) if period else grid
+    cells = layers.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *columns)
+    found = located.select(*by).dropna().distinct().join(cells, by)
+    return located.join(found, by, "left").select(*points.columns, *columns)
 
 
 def bracket_match(
@@ -187,7 +209,7 @@ def bracket_match(
     keys = {"lon_idx": lon_axis.at_or_below(F.col(lon)), "lat_idx": lat_axis.at_or_above(F.col(lat))}
     if period:
         keys[period] = F.col(period)
-    return lookup_cells(points, grid, keys, [value])
+    return lookup_cells(points, grid, keys, [value], period)
 
 
 def window_first_match(
@@ -198,7 +220,7 @@ def window_first_match(
     keys = {"lon_idx": lon_axis.first_within(F.col(lon), half), "lat_idx": lat_axis.first_within(F.col(lat), half)}
     if period:
         keys[period] = F.col(period)
-    return lookup_cells(points, grid, keys, [value])
+    return lookup_cells(points, grid, keys, [value], period)
 
 
 def match_climatology(

@@ -31,16 +31,23 @@ def mooring_series(
 ) -> DataFrame:
     """Values at one nominal depth in a time window; all filters reach the scan.
 
-    An unavailable depth is an error that lists the available ones.
+    An unavailable depth is an error when the query runs; it names the range of
+    depths at the site and the nearest one, from one aggregation over that column.
     """
     at_site = series.filter(F.col(site) == site_value)
-    if at_site.filter(F.col(depth) == depth_value).isEmpty():
-        found = [r[0] for r in at_site.select(depth).distinct().orderBy(depth).limit(1000).collect()]
-        raise ValueError(f"depth {depth_value} m is not available at {site_value}; available: {found}")
+    wanted = F.lit(depth_value).cast(series.schema[depth].dataType)
+    found = at_site.agg(
+        F.count_if(F.col(depth) == wanted).alias("n"), F.min(depth).alias("low"), F.max(depth).alias("high"),
+        F.min_by(depth, F.abs(F.col(depth) - wanted)).alias("near"),
+    )
+    message = F.format_string(
+        f"depth {depth_value} m is not available at {site_value}; available: %s to %s, nearest %s", *[F.col(c).cast("string") for c in ("low", "high", "near")],
+    )
+    known = found.select(F.when(F.col("n") > 0, F.lit(True)).otherwise(F.raise_error(message)).alias("ok")).scalar()
     rows = at_site.filter((F.col(depth) == depth_value) & (F.col(time) >= F.lit(start).cast("timestamp_ntz")))
     if end is not None:
         rows = rows.filter(F.col(time) <= F.lit(end).cast("timestamp_ntz"))
-    return rows.select(time, value)
+    return rows.filter(known).select(time, value)
 
 
 def series_file_name(series: DataFrame, *, site: str, depth: float, time: str, variable: str = "TEMP") -> str:

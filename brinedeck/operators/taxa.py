@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brinedeck.fixed_values import NOT_LOOKED_FOR
-from brinedeck.functions.missing import max_strict, not_in, sum_or_zero
+from brinedeck.functions.missing import not_in, sum_or_zero, sum_strict
 from brinedeck.functions.text import first_word, genus_species
 from brinedeck.operators.shuffle import keep_all_samples
 
@@ -44,20 +44,15 @@ def first_start(affected: DataFrame, key: str, name: str, start: str) -> DataFra
     return affected.groupBy(name).agg(F.min_by(start, F.struct(key, start)).alias("_default_start"))
 
 
-def densify_lists(names: DataFrame, name: str, parts: int = 1, limit: int = 1_000_000) -> list[DataFrame]:
+def densify_lists(names: DataFrame, name: str, parts: int = 1) -> list[DataFrame]:
     """The names of the change log with their default start, as one-row tables holding a list.
 
     Used as scalar subqueries, so that every sample can be written out against
-    the list without a join.  A list is checked not to exceed ``limit`` names;
-    a longer log is cut by hash into more ``parts``.
+    the list without a join.  A long log can be cut by hash into more ``parts``.
     """
     entry = F.struct(F.col(name), F.col("_default_start").cast("timestamp_ntz").alias("_start"), F.lit(True).alias("_logged"))
-    checked = F.when(F.count(F.lit(1)) <= limit, F.sort_array(F.collect_list(entry))).otherwise(
-        F.raise_error(F.lit(f"more than {limit} names in a list; raise name_parts"))
-    )
-    return [
-        names.filter(F.pmod(F.xxhash64(name), F.lit(parts)) == i).agg(checked.alias("names")) for i in range(parts)
-    ]
+    listed = F.sort_array(F.collect_list(entry)).alias("names")
+    return [names.filter(F.pmod(F.xxhash64(name), F.lit(parts)) == i).agg(listed) for i in range(parts)]
 
 
 def apply_change_log(
@@ -85,7 +80,8 @@ def apply_change_log(
     before that date gets -999, a later sample without a record gets 0, and a
     record is kept.  A sample on the very start date without a record is
     unknown.  Where a name has both logged and other taxa the larger value
-    wins.  ``samples`` has one row per ``key``; ``obs`` needs ``key``,
+    wins.  Samples that share ``dims`` are added up within either part before
+    the larger part is taken.  ``samples`` has one row per ``key``; ``obs`` needs ``key``,
     ``taxon``, ``name`` and ``value``; ``plain_name`` renames the unlogged part
     after summing.  ``dims`` names the columns that identify a sample in the
     result where that is not its key.
@@ -108,15 +104,20 @@ def apply_change_log(
         F.sum(F.when(F.col("_logged"), recorded)).alias("found"),
     )
     names = first_start(totals.filter("_logged"), key, name, start)
-    long = _presence(
-        samples, cells, names, key=key, date=date, name=name, value=value, placeholder=placeholder, name_parts=name_parts,
+    if dims is None:
+        return _presence(samples, cells, names, key=key, date=date, name=name, value=value, placeholder=placeholder, name_parts=name_parts)
+    parts = _presence(
+        samples, cells, names, key=key, date=date, name=name, value=value, placeholder=placeholder, name_parts=name_parts, parts=True,
+    )
+    summed = parts.groupBy(*dims, name).agg(
+        F.sum("_plain").alias("_plain"), sum_strict(F.col("_known")).alias("_known"), F.max("_logged").alias("_logged"),
     )
-    return long if dims is None else long.groupBy(*dims, name).agg(max_strict(F.col(value)).alias(value))
+    return summed.select(*dims, name, _larger("_logged", "_known", "_plain").alias(value))
 
 
 def _presence(
     samples: DataFrame, cells: DataFrame, names: DataFrame, *,
-    key: str, date: str, name: str, value: str, placeholder: str, name_parts: int,
+    key: str, date: str, name: str, value: str, placeholder: str, name_parts: int, parts: bool = False,
 ) -> DataFrame:
     """Every sample with every logged name, and with the other names found in it.
 
@@ -152,8 +153,13 @@ def _presence(
     plain = F.coalesce(cell["plain"], F.when((F.col(name) == placeholder) & ~F.col("_any_plain"), F.lit(0.0)))
     absent = F.when(F.col("_start") > F.col(date), F.lit(NOT_LOOKED_FOR)).when(F.col("_start") < F.col(date), F.lit(0.0))
     known = F.coalesce(cell["found"], absent)
-    total = F.when(~F.col("_logged"), plain).when(known.isNotNull(), F.greatest(known, plain))
-    return dense.select(*samples.columns, name, total.alias(value))
+    both = dense.select(*samples.columns, name, "_logged", plain.alias("_plain"), F.when(F.col("_logged"), known).alias("_known"))
+    return both if parts else both.select(*samples.columns, name, _larger("_logged", "_known", "_plain").alias(value))
+
+
+def _larger(logged: str, known: str, plain: str) -> Column:
+    """The larger part of a logged name, unknown if the logged part is; the plain part of another."""
+    return F.when(~F.col(logged), F.col(plain)).when(F.col(known).isNotNull(), F.greatest(known, plain))
 
 
 def group_totals(
@@ -185,12 +191,9 @@ def ids_long(samples: DataFrame, obs: DataFrame, *, key: str, taxon: str, genus:
     return samples.join(totals, key, "left").withColumn(value, F.coalesce(F.col(value), F.lit(0.0)))
 
 
-def taxon_names(long: DataFrame, name: str, limit: int = 10_000) -> list[str]:
-    """Sorted distinct names for the columns of a matrix; refuses more than ``limit``."""
-    found = [r[0] for r in long.select(name).filter(F.col(name).isNotNull()).distinct().limit(limit + 1).collect()]
-    if len(found) > limit:
-        raise ValueError(f"more than {limit} names; keep the table long or pass names=")
-    return sorted(found)
+def taxon_names(long: DataFrame, name: str) -> list[str]:
+    """Sorted distinct names, for the columns of a matrix: a wide table needs them before it is planned."""
+    return sorted(r[0] for r in long.select(name).filter(F.col(name).isNotNull()).distinct().collect())
 
 
 def to_matrix(

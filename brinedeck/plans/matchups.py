@@ -7,9 +7,10 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from brinedeck.fixed_values import WEEKLY_EPOCH, WEEKLY_ORIGIN_DAY
 from brinedeck.functions.axes import RegularAxis
 from brinedeck.functions.ocean import harmonic, kelvin_to_celsius
-from brinedeck.functions.timefn import composite8_key, month_key, period_key, weekly_cycle
+from brinedeck.functions.timefn import composite8_key, days_since, month_key, period_key, weekly_cycle
 from brinedeck.operators import gridmatch
 from brinedeck.operators.quality import in_bbox, require_date
 
@@ -33,11 +34,11 @@ def satellite_chain(
     return out
 
 
-def add_altimetry(points: DataFrame, grid: DataFrame, *, lon: str, lat: str, date: str, lon_axis: RegularAxis, lat_axis: RegularAxis, res_spat: int = 1) -> DataFrame:
-    """Add sea-level measures; the grid has ``year`` and ``slice_doy`` per slice."""
+def add_altimetry(points: DataFrame, grid: DataFrame, *, lon: str, lat: str, date: str, lon_axis: RegularAxis, lat_axis: RegularAxis, res_spat: int = 1, slices: DataFrame | None = None) -> DataFrame:
+    """Add sea-level measures; the grid has ``year`` and ``slice_doy`` per slice, ``slices`` is its calendar."""
     keyed = points.withColumns({"year": F.year(date), "doy": F.dayofyear(date)})
     return gridmatch.match_altimetry(
-        keyed, grid, lon=lon, lat=lat, lon_axis=lon_axis, lat_axis=lat_axis, year="year", doy="doy", res_spat=res_spat,
+        keyed, grid, lon=lon, lat=lat, lon_axis=lon_axis, lat_axis=lat_axis, year="year", doy="doy", res_spat=res_spat, slices=slices,
     ).drop("year", "doy")
 
 
@@ -53,8 +54,8 @@ def bathymetry(points: DataFrame, grid: DataFrame, *, lon: str, lat: str, lon_ax
 
 
 def weekly_sst(points: DataFrame, grid: DataFrame, slices: DataFrame, *, lon: str, lat: str, date: str, day: str, origin: int, lon_axis: RegularAxis, lat_axis: RegularAxis) -> DataFrame:
-    """Corner value of the first weekly slice after the point's 7-day cycle; points before the first cycle are dropped."""
-    keyed = points.withColumn("cycle", weekly_cycle(F.col(date))).filter("cycle > 0")
+    """Corner value of the first weekly slice after the point's 7-day cycle; points up to the origin day are dropped."""
+    keyed = points.filter(F.bround(days_since(F.col(date), WEEKLY_EPOCH)) > WEEKLY_ORIGIN_DAY).withColumn("cycle", weekly_cycle(F.col(date)))
     dated = keyed.join(gridmatch.weekly_slices(slices, day, origin), "cycle", "left").drop("cycle")
     return gridmatch.bracket_match(dated, grid, lon=lon, lat=lat, lon_axis=lon_axis, lat_axis=lat_axis, period=day)
 

@@ -9,9 +9,6 @@ cluster profile that turns them off is easy to spot.
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -38,12 +35,8 @@ def build_session(app: str = "brinedeck", master: str | None = None, **conf: str
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach, for tables written between jobs.
-
-    A cluster names it in ``spark.checkpoint.dir``.  Only where that is unset
-    (a laptop, the tests) is a fresh local folder made.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named
-    return tempfile.mkdtemp(prefix="brinedeck-", dir=os.environ.get("TMPDIR"))
+    """Folder every executor can reach, for tables written between jobs: ``spark.checkpoint.dir``, which must be set."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not named:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return named

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brinedeck.fixed_values import CAST_DENY_LIST, CAST_PREAMBLE_LINES, NULL_TOKENS, PROJECT, STATION_NAMES
@@ -20,44 +20,50 @@ def read_obs_csv(
     spark: SparkSession, path: str, table: Mapping[str, tuple[str, str]],
     null_tokens: Iterable[str] = NULL_TOKENS, preamble: int = 0,
 ) -> DataFrame:
-    """Columns of ``table`` from CSV files with a header line.
+    """Columns of ``table`` from CSV files with a header line, after ``preamble`` lines that are left out.
 
-    Fields are read as text, null tokens become NULL, and the rest is cast, so
-    no pass over the data infers types.  With ``preamble`` lines before the
-    header every file's head is read first (those lines only) to know the
-    header and the lines to leave out.
+    Fields are found by the header of their own file, so files may order their
+    columns differently or lack some.  They are read as text, null tokens
+    become NULL, and the rest is cast, so no pass over the data infers types.
+    Records end with their line.
     """
-    if preamble:
-        raw = _after_preamble(spark, path, preamble)
-    else:
-        raw = spark.read.option("header", True).option("quote", '"').option("escape", '"').csv(path)
-    present = {c.lower(): c for c in raw.columns}
+    located = _lines_with_header(spark, path, preamble)
+    fields, header = _fields(F.col("value")), F.transform(_fields(F.col("header")), lambda c: F.lower(F.trim(c)))
+    cut = located.select(fields.alias("_fields"), header.alias("_header"))
     tokens = list(null_tokens)
     out = []
     for name, (source, kind) in table.items():
-        if source.lower() in present:
-            text = F.col(f"`{present[source.lower()]}`")
-            text = F.when(~text.isin(tokens), text)
-            out.append((text if kind == "string" else text.try_cast(kind)).alias(name))
-        else:
-            out.append(F.lit(None).cast(kind).alias(name))
-    return raw.select(*out)
-
-
-def _after_preamble(spark: SparkSession, path: str, preamble: int) -> DataFrame:
-    lines = spark.read.text(path)
-    heads: list[str] = []
-    header = None
-    for file in lines.inputFiles():
-        top = [r[0] for r in spark.read.text(file).take(preamble + 1)]
-        if header is not None and top[-1] != header:
-            raise ValueError(f"{file} has another header line")
-        header = top[-1]
-        heads += top
-    names = [c.strip().strip('"') for c in header.split(",")]
-    ddl = ", ".join(f"`{c}` string" for c in names)
-    body = lines.filter(~F.col("value").isin(heads) & (F.trim("value") != ""))
-    return body.select(F.from_csv("value", ddl, {"quote": '"', "escape": '"'}).alias("r")).select("r.*")
+        at = F.array_position("_header", F.lit(source.lower())).cast("int")
+        text = F.when(at > 0, F.get("_fields", at - 1))
+        text = F.when((text != "") & ~text.isin(tokens), text)
+        out.append((text if kind == "string" else text.try_cast(kind)).alias(name))
+    return cut.select(*out)
+
+
+def _lines_with_header(spark: SparkSession, path: str, preamble: int) -> DataFrame:
+    """Data lines with the header line of their file.
+
+    Lines are numbered as they are read.  The first number of a file's first
+    block gives each line its place, and the header is the line at place
+    ``preamble``: one row per file that meets the file's lines, without a job per file.
+    """
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("_file"), (F.col("_metadata.file_block_start") == 0).alias("_top"),
+    ).withColumn("_n", F.monotonically_increasing_id())
+    top = lines.filter("_top")
+    starts = top.groupBy("_file").agg(F.min("_n").alias("_first"))
+    heads = top.join(starts, "_file").filter(F.col("_n") == F.col("_first") + preamble).select("_file", F.col("value").alias("header"), F.col("_n").alias("_head"))
+    body = lines.join(heads, "_file").filter(~F.col("_top") | (F.col("_n") > F.col("_head")))
+    return body.filter(F.trim("value") != "").select("value", "header")
+
+
+def _fields(line: Column) -> Column:
+    """Fields of a CSV line; commas inside quotes don't cut, doubled quotes stand for one."""
+    quoted = F.transform(
+        F.split(line, ',(?=(?:[^"]*"[^"]*")*[^"]*$)', -1),
+        lambda f: F.when(f.rlike('^".*"$'), F.replace(F.substring(f, F.lit(2), F.length(f) - 2), F.lit('""'), F.lit('"'))).otherwise(f),
+    )
+    return F.when(F.contains(line, F.lit('"')), quoted).otherwise(F.split(line, ",", -1))
 
 
 def load_stations(spark: SparkSession, path: str, project: str = PROJECT) -> DataFrame:
@@ -118,7 +124,7 @@ def load_pico(spark: SparkSession, path: str) -> DataFrame:
 
 def load_pigments(spark: SparkSession, path: str, flagged: bool = True) -> DataFrame:
     """Pigments; ``flagged`` keeps the rows with a good flag only."""
-    rows = read_obs_csv(spark, path, schemas.PIGMENTS)
+    rows = read_obs_csv(spark, path, schemas.PIGMENTS).withColumn("Chla", F.col(schemas.CHLOROPHYLL))
     return (qc_keep(rows, "PIGMENTS_FLAG") if flagged else rows).drop("PIGMENTS_FLAG")
 
 

@@ -47,9 +47,17 @@ CHEMISTRY = {
     "TripCode": ("TRIP_CODE", S), "SampleDepth_m": ("SAMPLEDEPTH_M", S),
     **{m: (m.upper(), D) for m in CHEMISTRY_FLAGS}, **{f: (f, I) for f in CHEMISTRY_FLAGS.values()},
 }
+# The pigment columns of the public data model; the chlorophyll of the products is one of them.
+PIGMENT_NAMES = (
+    "ALLO", "ALPHA_BETA_CAR", "ANTH", "ASTA", "BETA_BETA_CAR", "BETA_EPI_CAR", "BUT_FUCO", "CANTHA", "CPHL_A", "CPHL_B", "CPHL_C1", "CPHL_C2",
+    "CPHL_C3", "CPHL_C1C2", "CPHLIDE_A", "DIADCHR", "DIADINO", "DIATO", "DINO", "DV_CPHL_A", "DV_CPHL_A_AND_CPHL_A", "DV_CPHL_B",
+    "DV_CPHL_B_AND_CPHL_B", "ECHIN", "FUCO", "GYRO", "HEX_FUCO", "KETO_HEX_FUCO", "LUT", "LYCO", "MG_DVP", "NEO", "PERID", "PHIDE_A",
+    "PHYTIN_A", "PHYTIN_B", "PRAS", "VIOLA", "ZEA",
+)
+CHLOROPHYLL = "DV_CPHL_A_AND_CPHL_A"
 PIGMENTS = {
     "TripCode": ("TRIP_CODE", S), "SampleDepth_m": ("SAMPLEDEPTH_M", S), "PIGMENTS_FLAG": ("PIGMENTS_FLAG", I),
-    "Chla": ("DV_CPHL_A_AND_CPHL_A", D),
+    **{p: (p, D) for p in PIGMENT_NAMES},
 }
 PICO_FLAGS = {
     "Prochlorococcus_cellsml": "PROCHLOROCOCCUS_FLAG", "Synecochoccus_cellsml": "SYNECOCHOCCUS_FLAG",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import functions as F
@@ -17,6 +18,13 @@ from driver_queries import gridded, indices, roles
 from driver_queries.roles import GRID, GRID_AXIS, IDENTIFIED, LAYERS, POINTS, SAMPLES, TAXA, TRAITS, r, table
 
 
+def _folder(spark):
+    """The cluster's shared folder; a session that names none (local runs, tests) gets one of its own."""
+    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="brinedeck-"))
+    return shared_folder(spark)
+
+
 def water_quality(spark, d):
     line = table(spark, d, "lineitem").withColumns({
         "TripCode": F.col("l_orderkey"), "SampleDepth_m": (F.col("l_linenumber") * 5).cast("string"), "flag": (F.col("l_quantity") % 10).cast("int"),
@@ -108,7 +116,7 @@ def csv_product(spark, d):
         "o_orderkey", "o_orderdate", F.when(F.col("o_orderkey") % 3 == 0, "(null)").otherwise(F.col("o_orderpriority")).alias("priority"),
         F.when(F.col("o_orderkey") % 7 == 0, "NaN").otherwise(F.col("o_totalprice").cast("string")).alias("price"),
     )
-    path = f"{shared_folder(spark)}/csv_product_{uuid.uuid4().hex}"
+    path = f"{_folder(spark)}/csv_product_{uuid.uuid4().hex}"
     write_product(o, path, "csv")
     return read_obs_csv(spark, path, {
         "trip": ("O_ORDERKEY", "bigint"), "date": ("o_orderdate", "timestamp_ntz"), "priority": ("PRIORITY", "string"), "price": ("Price", "double"),
@@ -117,7 +125,7 @@ def csv_product(spark, d):
 
 def grid_product(spark, d):
     """Layers written by product and period; reading one product opens only its folders."""
-    path = f"{shared_folder(spark)}/grid_product_{uuid.uuid4().hex}"
+    path = f"{_folder(spark)}/grid_product_{uuid.uuid4().hex}"
     write_grid(roles.layers(spark, d), path)
     return read_grid(spark, path, "sst").groupBy("period").agg(F.count("value").alias("n"), r(F.sum("value")).alias("total"))
 

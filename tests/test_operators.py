@@ -164,8 +164,8 @@ def test_mooring_series(spark):
     out = mooring.mooring_series(df, depth_value=10.0, start="2020-01-02", **args)
     assert rows(out) == [(at(48), 2.0)]
     assert mooring.series_file_name(df, site="A", depth=10.0, time="time") == "A_TEMP_10m_20200101-20200103"
-    with pytest.raises(ValueError, match="20.0"):
-        mooring.mooring_series(df, depth_value=15.0, **args)
+    with pytest.raises(Exception, match="not available at A; available: 10.0 to 20.0"):
+        mooring.mooring_series(df, depth_value=14.0, **args).collect()
     wide = spark.createDataFrame([(T0, 1.0, None)], "time timestamp_ntz, `10.5` double, `20` double")
     assert rows(mooring.gridded_from_matrix(wide, "time", ["10.5", "20"])) == [(T0, 10.5, 1.0)]
 
@@ -235,3 +235,19 @@ def test_joins(spark):
     left = spark.createDataFrame([("a", None), ("b", 1)], "k string, d int")
     right = spark.createDataFrame([("a", None, 5), ("b", 2, 6)], "k string, d int, v int")
     assert rows(left_join_nullsafe(left, right, ["k", "d"])) == [("a", None, 5), ("b", 1, None)]
+
+
+def test_contour_ranges_are_those_of_each_group(spark):
+    data = [("A", 0.0, 0.0, 1.0), ("A", 1.0, 5.0, 2.0), ("B", 100.0, 0.0, 3.0), ("B", 101.0, 5.0, 4.0), (None, 7.0, 1.0, 5.0)]
+    df = spark.createDataFrame(data, "site string, t double, d double, v double")
+    out = grid.regrid_bins(df, x="t", y="d", value="v", nx=10, ny=5, by=["site"])
+    assert rows(out) == [(None, 0, 0, 5.0), ("A", 0, 0, 1.0), ("A", 9, 4, 2.0), ("B", 0, 0, 3.0), ("B", 9, 4, 4.0)]
+    common = grid.regrid_bins(df, x="t", y="d", value="v", nx=10, ny=5, by=["site"], x_range=(0.0, 101.0))
+    assert {r["x_bin"] for r in common.filter("site = 'B'").collect()} == {9}
+
+
+def test_empty_samples_stay_in_dissimilarities(spark):
+    data = [("a", "x", 1.0), ("b", "x", None), ("b", "y", -999.0), ("c", None, None), ("d", "x", 3.0)]
+    out = community.bray_curtis(spark.createDataFrame(data, "s string, t string, v double"), key="s", taxon="t", value="v")
+    got = {(r["a"], r["b"]): r["dissimilarity"] for r in out.collect()}
+    assert got == {("a", "b"): 1.0, ("a", "c"): 1.0, ("a", "d"): 0.5, ("b", "c"): None, ("b", "d"): 1.0, ("c", "d"): 1.0}

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from brinedeck.functions.axes import RegularAxis
+from brinedeck.operators import gridmatch
 from brinedeck.operators import indices as op
 from brinedeck.operators.quality import duplicate_max
 from brinedeck.plans import community, matchups, matrices, series
@@ -277,3 +278,98 @@ def test_row_operators_accept_a_stream(spark, tmp_path):
     query = stream.writeStream.format("memory").queryName("bins").trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "cp")).start()
     query.awaitTermination(60)
     assert spark.table("bins").filter("bin is null").count() == 1
+
+
+def test_columns_follow_the_header_of_their_file(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('x,y,z\n1,2,"p, ""q"""\n')
+    (tmp_path / "b.csv").write_text("Y,X\n3,4\n\n(null),5\n")
+    out = readers.read_obs_csv(spark, str(tmp_path), {"a": ("X", "int"), "b": ("y", "int"), "c": ("z", "string")})
+    assert rows(out) == [(1, 2, 'p, "q"'), (4, 3, None), (5, None, None)]
+
+
+def test_data_lines_equal_to_the_preamble_stay(spark, tmp_path):
+    for name, order in (("a", "x,y"), ("b", "y,x")):
+        (tmp_path / f"{name}.csv").write_text(f"1,2\nabout\n{order}\n1,2\n{order[::-1]}\n3,4\n")
+    out = readers.read_obs_csv(spark, str(tmp_path), {"x": ("x", "string"), "y": ("y", "string")}, preamble=2)
+    assert rows(out) == [("1", "2"), ("2", "1"), ("3", "4"), ("4", "3"), ("y", "x"), ("y", "x")]
+
+
+def test_files_larger_than_a_block_keep_all_lines(spark, tmp_path):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    (tmp_path / "a.csv").write_text("skip\nx,y\n" + "".join(f"{i},{i * 2}\n" for i in range(5000)))
+    (tmp_path / "b.csv").write_text("skip\ny,x\n" + "".join(f"{i * 2},{i}\n" for i in range(5000, 9000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        out = readers.read_obs_csv(spark, str(tmp_path), {"x": ("x", "int"), "y": ("y", "int")}, preamble=1)
+        assert out.count() == 9000 and out.filter("y <> 2 * x or x is null").count() == 0
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_all_pigments_are_read(spark, tmp_path):
+    (tmp_path / "p.csv").write_text("TRIP_CODE,SAMPLEDEPTH_M,PIGMENTS_FLAG,ZEA,DV_CPHL_A_AND_CPHL_A\nT,10,1,0.25,0.5\n")
+    got = readers.load_pigments(spark, str(tmp_path)).first()
+    assert (got["ZEA"], got["Chla"], got["FUCO"]) == (0.25, 0.5, None)
+
+
+def _files_read(df):
+    """Files that the scans of a finished query opened."""
+    df.collect()
+    plan, found = df._jdf.queryExecution().executedPlan(), []
+
+    def walk(node):
+        if node.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            return walk(node.executedPlan())
+        if node.getClass().getSimpleName().endswith("QueryStageExec"):
+            return walk(node.plan())
+        if node.getClass().getSimpleName() == "FileSourceScanExec" and node.metrics().contains("numFiles"):
+            found.append(node.metrics().apply("numFiles").value())
+        kids = node.children()
+        for i in range(kids.size()):
+            walk(kids.apply(i))
+
+    walk(plan)
+    return found
+
+
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_matching_opens_only_the_points_periods(spark, tmp_path, threshold):
+    axis = RegularAxis(0.0, 1.0, 3)
+    path, sea = str(tmp_path / "grid"), str(tmp_path / "sea")
+    cells = spark.range(9 * 40).select(
+        F.lit("sst").alias("product"), F.concat(F.lit("p"), F.floor(F.col("id") / 9).cast("string")).alias("period"), (F.col("id") % 3).cast("int").alias("lon_idx"),
+        (F.floor(F.col("id") / 3) % 3).cast("int").alias("lat_idx"), F.col("id").cast("double").alias("value"),
+    )
+    cells.coalesce(1).write.partitionBy("period").parquet(path)
+    measures = [F.col("value").alias(m) for m in ("GSLA", "GSL", "UCUR", "VCUR")]
+    slices = cells.select((2000 + F.substr("period", F.lit(2)).cast("int") % 4).alias("year"), (F.substr("period", F.lit(2)).cast("int") * 9 + 1).alias("slice_doy"), "lon_idx", "lat_idx", *measures)
+    slices.coalesce(1).write.partitionBy("year", "slice_doy").parquet(sea)
+    layers, level = spark.read.parquet(path), spark.read.parquet(sea)
+    points = spark.createDataFrame([(i, float(i % 3), float(i % 2), f"p{7 + i % 2}", 2001, 40 + i % 2) for i in range(20)], "id int, x double, y double, period string, year int, doy int")
+    points = points.union(spark.createDataFrame([(99, 1.0, 1.0, "p99", 2999, 1)], points.schema))
+    xy = {"lon": "x", "lat": "y", "lon_axis": axis, "lat_axis": axis}
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        found = [
+            gridmatch.match_grid(points, layers, **xy, products={"v": "sst"}, period="period"),
+            gridmatch.bilinear_match(points, layers, **xy, values={"v": "value"}, period="period"),
+            gridmatch.bracket_match(points, layers, **xy, period="period"),
+            gridmatch.window_first_match(points, layers, **xy, half=0.3, period="period"),
+        ]
+        for out in found:
+            assert _files_read(out) == [2] and out.filter("period = 'p7'").count() == 10
+        calendar = level.select("year", "slice_doy").distinct()
+        out = gridmatch.match_altimetry(points, level, **xy, year="year", doy="doy", slices=calendar)
+        assert min(_files_read(out)) <= 2 and out.filter("GSLA is not null").count() == 20
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_first_weekly_points_stay(spark):
+    axis = RegularAxis(0.0, 1.0, 3)
+    layer = spark.range(9).select((F.col("id") % 3).cast("int").alias("lon_idx"), F.floor(F.col("id") / 3).cast("int").alias("lat_idx"), F.col("id").cast("double").alias("value"), F.lit(66417).alias("day"))
+    start = dt.datetime(1800, 1, 1)
+    points = spark.createDataFrame([(1.0, 1.0, start + dt.timedelta(days=d)) for d in (66409, 66410, 66411, 66413, 66414)], "x double, y double, Date timestamp_ntz")
+    out = matchups.weekly_sst(points, layer, layer.select("day").distinct(), lon="x", lat="y", date="Date", day="day", origin=66410, lon_axis=axis, lat_axis=axis)
+    assert out.count() == 3
