@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 
 from brinedeck.llm.common import in_order, running_total, settle, words
 
+SEED = 17
+
 
 def source_targets(sizes: DataFrame, weights: Sequence[float], epochs: float, share: float = 1.0) -> DataFrame:
     """Table (source, source_size, target) for a table (source, source_size); weights repeat over sources by code point.
@@ -53,7 +55,7 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], epochs: float, sh
 
 
 def _sized(docs: DataFrame, seed: int, *extra: Column) -> DataFrame:
-    order = F.xxhash64(F.lit(seed), F.col("doc_id"))
+    order = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
     return docs.select("doc_id", F.col("source").cast("string").alias("source"), F.size(words(F.col("text"))).cast("long").alias("size"), order.alias("_order"), *extra)
 
 
@@ -80,13 +82,13 @@ def copies(sized: DataFrame, weights: Sequence[float], epochs: float) -> DataFra
     return marked.withColumn("copies", F.least(F.col("whole") + once_more, F.floor(F.lit(epochs)).cast("long")))
 
 
-def mix(docs: DataFrame, weights: Sequence[float] = (5.0, 2.0, 1.0), epochs: float = 3.0, seed: int = 17) -> DataFrame:
+def mix(docs: DataFrame, weights: Sequence[float] = (5.0, 2.0, 1.0), epochs: float = 3.0, seed: int = SEED) -> DataFrame:
     """By document: doc_id, size, source_size, target (of its source), taken (words that the mix takes, repeats counted)."""
     taken = copies(_sized(docs, seed), weights, epochs)
     return taken.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
-def repeated(docs: DataFrame, weights: Sequence[float] = (5.0, 2.0, 1.0), epochs: float = 3.0, seed: int = 17) -> DataFrame:
+def repeated(docs: DataFrame, weights: Sequence[float] = (5.0, 2.0, 1.0), epochs: float = 3.0, seed: int = SEED) -> DataFrame:
     """``docs`` as the mix takes them: a document's row occurs as often as it is taken.
 
     Only ids and sizes are put in order; texts meet their number of copies by doc_id. Of

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brinedeck.llm import backoff, binary_ids, mixing, neighbours, packing, quality_model, quality_rules, sharding, simhash, toxicity
+from brinedeck.llm import backoff, binary_ids, mixing, neighbours, oracle, packing, quality_model, quality_rules, sharding, simhash, toxicity
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -71,4 +71,4 @@ QUERIES = {f.__name__: f for f in (
     op1_pack_sequences, op2_nearest_vectors, op3_mix_sources, op4_shard_documents, op5_toxicity, op6_quality_rules, op7_quality_model,
     op8_simhash_groups, op9_backoff_scores, op10_token_id_files,
 )}
-SQL: dict[str, str] = {}
+SQL = oracle.SQL
