@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from driver_queries import community, gridded, indices, matching, profiles, products, quality, taxa
+from driver_queries import community, gridded, indices, loaders, matching, profiles, products, quality, taxa
 
-MODULES = (indices, quality, taxa, matching, profiles, gridded, community, products)
+MODULES = (indices, quality, taxa, matching, profiles, gridded, community, products, loaders)
 
 
 def all_queries() -> dict:
