@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brinedeck.llm.common import ship
-from brinedeck.llm.toxicity import held_out, labelled_sample
+from brinedeck.llm.toxicity import held_out, labelled_sample, lists_of
 
 ship(__name__)
 
@@ -102,8 +102,8 @@ def train(index: np.ndarray, value: np.ndarray, starts: np.ndarray, label: np.nd
     """AdaGrad on the logistic loss; row k has the features index[starts[k]:starts[k + 1]]."""
     random = np.random.default_rng(seed)
     share = min(max(label.mean(), 1e-6), 1 - 1e-6)
-    bias, weight, factors = math.log(share / (1 - share)), np.zeros(n_features), random.normal(0, 0.05, (n_features, rank))
-    seen, seen_factors, seen_bias = np.full(n_features, 1e-6), np.full((n_features, rank), 1e-6), 1e-6
+    bias, weight, factors = math.log(share / (1 - share)), np.zeros(n_features, np.float32), random.normal(0, 0.05, (n_features, rank)).astype(np.float32)
+    seen, seen_factors, seen_bias = np.full(n_features, 1e-6, np.float32), np.full((n_features, rank), 1e-6, np.float32), 1e-6
     for _ in range(epochs):
         order = random.permutation(len(label))
         for at in range(0, len(order), batch):
@@ -140,13 +140,11 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", bits: int =
             made = [features(t, c, bits) for t, c in zip(batch["text"], batch["n_chars"], strict=True)]
             yield pd.DataFrame({"label": batch["_label"], "index": [m[0].astype(np.int32) for m in made], "value": [m[1].astype(np.float32) for m in made]})
 
-    rows = chosen.mapInPandas(listed, "label int, index array<int>, value array<float>").toPandas()  # at most ``sample`` rows
-    target = rows["label"].to_numpy(float)
+    target, starts, index, value = lists_of(chosen.mapInPandas(listed, "label int, index array<int>, value array<float>"))  # at most ``sample`` rows
     if len(set(target)) < 2:
         share = (target.sum() + 1) / (len(target) + 2)
         return FactorisationMachine(math.log(share / (1 - share)), np.zeros(n_features), np.zeros((n_features, 1)))
-    starts = np.concatenate(([0], np.cumsum(rows["index"].map(len).to_numpy(np.int64))))
-    return train(np.concatenate(rows["index"].to_list()).astype(np.int64), np.concatenate(rows["value"].to_list()).astype(float), starts, target, n_features, **options)
+    return train(index, value, starts, target, n_features, **options)
 
 
 def quality(docs: DataFrame, labels: DataFrame, bits: int = 16, **options) -> DataFrame:

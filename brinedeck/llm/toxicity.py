@@ -87,6 +87,14 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, sample: int)
     return settle(docs.join(F.broadcast(settle(chosen)), F.col("doc_id") == F.col("_id")).drop("_id"))
 
 
+def lists_of(rows: DataFrame) -> tuple[np.ndarray, ...]:
+    """A bounded table (label, list, ...) on the driver, flat: labels, where each row's entries start, and the entries of each list."""
+    table = rows.toArrow().combine_chunks()
+    lists = [table.column(k).combine_chunks() for k in range(1, table.num_columns)]
+    sizes = np.asarray(lists[0].value_lengths().fill_null(0))
+    return np.asarray(table.column(0), float), np.concatenate(([0], np.cumsum(sizes))), *(np.asarray(x.flatten()) for x in lists)
+
+
 def ridge_logistic(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, label: np.ndarray, n_columns: int, penalty: float, rounds: int = 300) -> tuple[np.ndarray, float]:
     """Weights and intercept by accelerated gradient steps scaled by each column's curvature."""
     n = len(label)
