@@ -3,8 +3,8 @@
 Lower-cased texts are read as code points; n-grams of ``orders`` characters are hashed to
 ``2**bits`` buckets. In the labelled sample, documents of either class are counted per bucket;
 a bucket's feature is its presence times r = log of the ratio of its smoothed shares in both
-classes. Buckets whose shares differ by less than ``evidence`` standard errors are left out, and a logistic
-regression with a ridge penalty is fitted on the scaled features of the others.
+classes. The ``most`` buckets whose shares differ by the most standard errors (and by ``evidence`` of them at
+least) are used, and a logistic regression with a ridge penalty is fitted on their scaled features.
 
 Fitting uses at most ``sample`` labelled documents (those with the smallest hash of doc_id), so
 the driver holds bounded data whatever the size of the corpus: per-bucket counts come as one
@@ -95,27 +95,42 @@ def lists_of(rows: DataFrame) -> tuple[np.ndarray, ...]:
     return np.asarray(table.column(0), float), np.concatenate(([0], np.cumsum(sizes))), *(np.asarray(x.flatten()) for x in lists)
 
 
-def ridge_logistic(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, label: np.ndarray, n_columns: int, penalty: float, rounds: int = 300) -> tuple[np.ndarray, float]:
-    """Weights and intercept by accelerated gradient steps scaled by each column's curvature."""
-    n = len(label)
+def ridge_logistic(starts: np.ndarray, columns: np.ndarray, scale: np.ndarray, label: np.ndarray, penalty: float, rounds: int = 200) -> tuple[np.ndarray, float]:
+    """Weights and intercept by accelerated gradient steps scaled by each column's curvature.
+
+    Row k has the columns ``columns[starts[k]:starts[k + 1]]`` with the value of their ``scale``; rows are
+    taken in blocks, so that only the column numbers are held for all of them.
+    """
+    n, n_columns = len(label), len(scale)
+    cuts = np.unique(np.concatenate((np.searchsorted(starts, np.arange(0, len(columns), 1 << 20)), [0, n])))
+    cuts = cuts[cuts <= n]
+    blocks = [(a, b, columns[starts[a] : starts[b]], np.repeat(np.arange(b - a, dtype=np.int32), np.diff(starts[a : b + 1]))) for a, b in zip(cuts, cuts[1:], strict=False)]
     share = min(max(label.mean(), 1e-6), 1 - 1e-6)
     weight, intercept = np.zeros(n_columns), math.log(share / (1 - share))
-    per_row = np.bincount(rows, np.abs(values), n)
-    bound = 0.25 * np.bincount(columns, np.abs(values) * per_row[rows], n_columns) + penalty  # a row-sum bound of the Hessian
-    step, top = 1.0 / np.maximum(bound, 1e-9), 0.25 * (n + per_row.sum())
+    size, per_row = np.abs(scale), []
+    bound = np.zeros(n_columns)
+    for a, b, column, row in blocks:
+        per_row.append(np.bincount(row, size[column], b - a))
+        bound += np.bincount(column, per_row[-1][row], n_columns)
+    bound = 0.25 * bound * size + penalty  # a row-sum bound of the Hessian
+    step, top = 1.0 / np.maximum(bound, 1e-9), 0.25 * (n + sum(float(x.sum()) for x in per_row))
     ahead, ahead0, t = weight.copy(), intercept, 1.0
     for _ in range(rounds):
-        margin = np.bincount(rows, values * ahead[columns], n) + ahead0
-        error = 1.0 / (1.0 + np.exp(-np.clip(margin, -30, 30))) - label
-        new = ahead - step * (np.bincount(columns, values * error[rows], n_columns) + penalty * ahead)
-        new0 = ahead0 - error.sum() / top
+        pull, pull0, scaled = np.zeros(n_columns), 0.0, ahead * scale
+        for a, b, column, row in blocks:
+            margin = np.bincount(row, scaled[column], b - a) + ahead0
+            error = 1.0 / (1.0 + np.exp(-np.clip(margin, -30, 30))) - label[a:b]
+            pull += np.bincount(column, error[row], n_columns)
+            pull0 += float(error.sum())
+        new = ahead - step * (pull * scale + penalty * ahead)
+        new0 = ahead0 - pull0 / top
         t_next = (1 + math.sqrt(1 + 4 * t * t)) / 2
         ahead, ahead0 = new + (t - 1) / t_next * (new - weight), new0 + (t - 1) / t_next * (new0 - intercept)
         weight, intercept, t = new, new0, t_next
     return weight, intercept
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", orders: tuple[int, ...] = (4, 5, 6), bits: int = 20, sample: int = 30_000, evidence: float = 4.0, penalty: float = 0.1) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", orders: tuple[int, ...] = (4, 5, 6), bits: int = 20, sample: int = 30_000, evidence: float = 4.0, most: int = 4096, penalty: float = 0.1) -> Model:
     """Train on the labelled documents outside the held-out fifth."""
     chosen = labelled_sample(docs.select("doc_id", "text"), labels, label, sample)
     size = 1 << bits
@@ -138,24 +153,22 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", orders: tuple[
     p, q = (F.col("yes") + 1) / (n_yes + 2), (F.col("no") + 1) / (n_no + 2)
     ratio = F.ln(p / q)
     error = F.sqrt(1 / (F.col("yes") + 1) - 1 / F.lit(float(n_yes + 2)) + 1 / (F.col("no") + 1) - 1 / F.lit(float(n_no + 2)))
-    kept = counts.select("bucket", ratio.alias("r")).filter(F.abs(ratio) > evidence * error).toPandas()  # at most 2**bits rows
-    scale = np.zeros(size)
-    scale[kept["bucket"].to_numpy(np.int64)] = kept["r"].to_numpy(float)
-    column = np.full(size, -1, np.int64)
+    strength = F.abs(ratio) / error
+    kept = counts.select("bucket", ratio.alias("r"), strength.alias("s")).filter(F.col("s") > evidence).orderBy(F.desc("s"), "bucket").limit(most).toPandas()
+    column = np.full(size, -1, np.int16)
     column[kept["bucket"].to_numpy(np.int64)] = np.arange(len(kept))
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = []
             for text in batch["text"]:
-                parts = [index[column[index] >= 0] for index in buckets(text, orders, bits)]
-                found.append(np.unique(np.concatenate([np.zeros(0, np.uint32), *parts])).astype(np.int32))
+                parts = [column[index] for index in buckets(text, orders, bits)]
+                present = np.unique(np.concatenate([np.zeros(0, np.int16), *parts]))
+                found.append(present[present >= 0])
             yield pd.DataFrame({"label": batch["_label"], "found": found})
 
-    rows = chosen.select("text", "_label").mapInPandas(features, "label int, found array<int>").toPandas()  # at most ``sample`` rows
-    sizes = rows["found"].map(len).to_numpy(np.int64)
-    at = np.concatenate([np.zeros(0, np.int64), *rows["found"]]).astype(np.int64)
-    weight, intercept = ridge_logistic(np.repeat(np.arange(len(rows)), sizes), column[at], scale[at], rows["label"].to_numpy(float), len(kept), penalty)
+    target, starts, columns = lists_of(chosen.select("text", "_label").mapInPandas(features, "label int, found array<short>"))  # at most ``sample`` rows
+    weight, intercept = ridge_logistic(starts, columns, kept["r"].to_numpy(float), target, penalty)
     full = np.zeros(size)
     full[kept["bucket"].to_numpy(np.int64)] = weight * kept["r"].to_numpy(float)
     return Model(full, intercept, orders, bits)
