@@ -115,7 +115,7 @@ def score_texts(texts: list[str | None], answers: list[np.ndarray], corpus_words
     return sizes, np.bincount(doc, score, len(texts))
 
 
-def backoff_scores(docs: DataFrame, order: int = 2, penalty: float = 0.4, block_bytes: int = 8 << 20, bucket_keys: int = 2_000_000) -> DataFrame:
+def backoff_scores(docs: DataFrame, order: int = 3, penalty: float = 0.4, block_bytes: int = 8 << 20, bucket_keys: int = 2_000_000) -> DataFrame:
     """doc_id, n_words, log10_sum and log10_mean (null without words) of every document."""
     text = F.col("text").cast("string")
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))

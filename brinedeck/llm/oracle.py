@@ -38,6 +38,25 @@ BACKOFF = f"""with t as (select doc_id, {_words(f"translate(coalesce(text, ''),
   select d.doc_id, cast(any_value(d.n) as bigint) as n_words, round(coalesce(sum(s), 0), 4) as log10_sum, round(sum(s) / any_value(d.n), 6) as log10_mean
   from d left join s on s.doc_id = d.doc_id group by d.doc_id"""
 
+BACKOFF_ORDER3 = f"""with t as (select doc_id, {_words(f"translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}')")} as w from documents),
+  k as (select doc_id, unnest(w) as w, generate_subscripts(w, 1) as i from t),
+  b as (select doc_id, w, lag(w) over x as p, lag(w, 2) over x as q from k window x as (partition by doc_id order by i)),
+  o1 as (select doc_id, w, count(*) as n from k group by all), c1 as (select w, sum(n) as n from o1 group by all),
+  o2 as (select doc_id, p, w, count(*) as n from b where p is not null group by all), c2 as (select p, w, sum(n) as n from o2 group by all),
+  o3 as (select doc_id, q, p, w, count(*) as n from b where q is not null group by all), c3 as (select q, p, w, sum(n) as n from o3 group by all),
+  d as (select doc_id, len(w) as n, greatest((select count(*) from k) - len(w), 1) as others from t),
+  m as (select b.doc_id, d.others, case when b.p is null then 1 when b.q is null then 2 else 3 end as longest, c1.n - o1.n as n1, coalesce(c2.n - o2.n, 0) as n2,
+      coalesce(c3.n - o3.n, 0) as n3, c1p.n - o1p.n as context1, c2p.n - o2p.n as context2
+    from b join d using (doc_id) join c1 on c1.w = b.w join o1 on o1.doc_id = b.doc_id and o1.w = b.w
+    left join c2 on c2.p = b.p and c2.w = b.w left join o2 on o2.doc_id = b.doc_id and o2.p = b.p and o2.w = b.w
+    left join c3 on c3.q = b.q and c3.p = b.p and c3.w = b.w left join o3 on o3.doc_id = b.doc_id and o3.q = b.q and o3.p = b.p and o3.w = b.w
+    left join c1 c1p on c1p.w = b.p left join o1 o1p on o1p.doc_id = b.doc_id and o1p.w = b.p
+    left join c2 c2p on c2p.p = b.q and c2p.w = b.p left join o2 o2p on o2p.doc_id = b.doc_id and o2p.p = b.q and o2p.w = b.p),
+  s as (select doc_id, case when n3 > 0 then log10(n3 / context2) when n2 > 0 then (longest - 2) * log10(0.4) + log10(n2 / context1)
+      when n1 > 0 then (longest - 1) * log10(0.4) + log10(n1 / others) else longest * log10(0.4) - log10(others) end as s from m)
+  select d.doc_id, cast(any_value(d.n) as bigint) as n_words, round(coalesce(sum(s), 0), 4) as log10_sum, round(sum(s) / any_value(d.n), 6) as log10_mean
+  from d left join s on s.doc_id = d.doc_id group by d.doc_id"""
+
 # level: the share of a weight of one; sources clamp in the order of cap / weight, and the right level is the one between two caps
 MIX = f"""with t as (select doc_id, source, cast(len({_words("coalesce(text, '')")}) as bigint) as size, md5('{mixing.SEED}:' || doc_id) as o from documents),
   z as (select source, cast(sum(size) as bigint) as source_size, (array[5.0, 2.0, 1.0])[(row_number() over (order by source nulls last) - 1) % 3 + 1] as w from t group by source),
@@ -94,4 +113,5 @@ SQL = {
     "op3_mix_sources": MIX,
     "op6_quality_rules": _rules_sql(),
     "op9_backoff_scores": BACKOFF,
+    "op9_backoff_scores_order3": BACKOFF_ORDER3,
 }

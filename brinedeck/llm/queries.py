@@ -62,6 +62,12 @@ def op9_backoff_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "n_words", F.round("log10_sum", 4).alias("log10_sum"), F.round("log10_mean", 6).alias("log10_mean"))
 
 
+def op9_backoff_scores_order3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stupid-backoff scores of all documents by the trigrams, bigrams and words of all other documents."""
+    scored = backoff.backoff_scores(_table(spark, sf_dir, "documents"), order=3, penalty=0.4)
+    return scored.select("doc_id", "n_words", F.round("log10_sum", 4).alias("log10_sum"), F.round("log10_mean", 6).alias("log10_mean"))
+
+
 def op10_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as token ids in binary files, and what the files hold."""
     return binary_ids.token_id_files(_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), end_id=1)[1]
@@ -69,6 +75,6 @@ def op10_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_pack_sequences, op2_nearest_vectors, op3_mix_sources, op4_shard_documents, op5_toxicity, op6_quality_rules, op7_quality_model,
-    op8_simhash_groups, op9_backoff_scores, op10_token_id_files,
+    op8_simhash_groups, op9_backoff_scores, op9_backoff_scores_order3, op10_token_id_files,
 )}
 SQL = oracle.SQL
