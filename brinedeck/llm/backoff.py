@@ -131,8 +131,8 @@ def backoff_scores(docs: DataFrame, order: int = 3, penalty: float = 0.4, block_
         for k, (gram, inside) in enumerate(grams(keys, first, order), 1):
             distinct, count = np.unique(gram[inside], return_counts=True)
             bucket = (distinct >> np.uint64(64 - shift)).astype(np.int64) if shift else np.zeros(len(distinct), np.int64)
-            cut = np.flatnonzero(np.diff(bucket, prepend=-1))
-            for a, b in zip(cut, np.append(cut[1:], len(distinct)), strict=True):
+            cut = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(distinct))
+            for a, b in zip(cut[:-1], cut[1:], strict=True):
                 out.append((int(rows["block"].iloc[0]), k, int(bucket[a]), _pack_keys(distinct[a:b]), _pack(count[a:b])))
         return pd.DataFrame(out, columns=["block", "order", "bucket", "keys", "counts"])
 
