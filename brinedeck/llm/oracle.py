@@ -108,10 +108,39 @@ def _rules_sql(risk: float = 0.03, delta: float = 0.1) -> str:
   select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and doc_id not in (select doc_id from hit) as kept from f"""
 
 
+def _framed(value: str) -> str:
+    return f"coalesce(cast(strlen(cast({value} as varchar)) as varchar) || ':' || {value}, '-')"
+
+
+def _merkle_sql() -> str:
+    leaf = "sha256(concat({}))"
+    fields = [_framed(f) for f in ("doc_id", "source", "lang", "n_chars", "text")]
+    changed = [*fields[:3], _framed("(n_chars + 1)"), fields[4]]
+    fold = "case when s.h is null then sha256(c.folded) when c.idx % 2 = 1 then sha256(s.h || c.folded) else sha256(c.folded || s.h) end"
+    level = "select {0}, lvl + 1 as lvl, idx // 2 as idx, (n + 1) // 2 as n, sha256(string_agg(h, '' order by idx)) as h from {1} where n > 1 group by {0}, lvl, idx // 2, n"
+    step = "select {0}, c.lvl + 1, c.idx // 2, (c.n + 1) // 2, " + fold + ", c.way || coalesce(s.h, '') from {1} c left join {2} s on {3} s.lvl = c.lvl and s.idx = xor(c.idx, 1) where c.n > 1"
+    crc = """xor(list_reduce(list_prepend(4294967295, list_transform(string_split(cast(doc_id as varchar), ''), lambda c: cast(ascii(c) as bigint))), lambda a, b:
+      list_reduce(list_prepend(xor(a, b), [cast(0 as bigint) for k in range(8)]), lambda x, y: xor(x >> 1, (x & 1) * 3988292384))), 4294967295)"""
+    return f"""with recursive a as materialized (select doc_id, lang, {leaf.format(", ".join(fields))} as leaf,
+      case when {crc} % 7 = 0 then {leaf.format(", ".join(changed))} else {leaf.format(", ".join(fields))} end as own from documents),
+  p as materialized (select *, row_number() over () as r, row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 as idx, count(*) over (partition by lang) as n,
+      dense_rank() over (order by lang nulls first) - 1 as tree from a),
+  up as (select tree, 0 as lvl, idx, n, leaf as h from p union all {level.format("tree", "up")}),
+  tops as materialized (select tree as idx, count(*) over () as n, h from up where n = 1),
+  above as (select 0 as tree, 0 as lvl, idx, n, h from tops union all {level.format("tree", "above")}),
+  c1 as (select r, tree, 0 as lvl, idx, n, own as folded, '' as way from p union all {step.format("c.r, c.tree", "c1", "up", "s.tree = c.tree and")}),
+  c2 as (select r, 0 as tree, 0 as lvl, c1.tree as idx, tops.n, folded, way from c1 join tops on tops.idx = c1.tree where c1.n = 1
+    union all {step.format("c.r, c.tree", "c2", "above", "")})
+  select p.doc_id, p.leaf, tops.h as subroot, (select h from above where n = 1) as root, sha256(c2.way) as proof_sha256, c2.folded as folded_root,
+    c2.folded = (select h from above where n = 1) as verified
+  from p join tops on tops.idx = p.tree join c2 on c2.r = p.r and c2.n = 1"""
+
+
 SQL = {
     "op2_nearest_vectors": NEAREST,
     "op3_mix_sources": MIX,
     "op6_quality_rules": _rules_sql(),
     "op9_backoff_scores": BACKOFF,
     "op9_backoff_scores_order3": BACKOFF_ORDER3,
+    "op13_merkle_manifest": _merkle_sql(),
 }
