@@ -108,6 +108,20 @@ def _rules_sql(risk: float = 0.03, delta: float = 0.1) -> str:
   select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and doc_id not in (select doc_id from hit) as kept from f"""
 
 
+def _ranked_sql() -> str:
+    terms = f"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+    return f"""with d as (select row_number() over () as r, doc_id, {terms} as w from documents),
+  t as (select r, term, count(*) as tf from (select r, unnest(w) as term from d) group by all),
+  s as (select count(*) as n_docs, cast(sum(len(w)) as bigint) as n_terms from d where len(w) > 0),
+  q as (select distinct item_id, unnest({terms}) as term from benchmark),
+  f as (select term, cast(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) as bigint) as w from t, s group by term, n_docs),
+  m as (select r, doc_id, 10 + (90 * len(w) * n_docs) // n_terms as m from d, s where len(w) > 0),
+  x as (select item_id, r, doc_id, cast(sum(f.w * ((1000000000 * tf) // (1000 * tf + 8 * m))) as bigint) as score
+    from q join f using (term) join t using (term) join m using (r) group by item_id, r, doc_id)
+  select item_id, cast(row_number() over o as integer) as rank, doc_id, score from x where score > 0
+  window o as (partition by item_id order by score desc, doc_id nulls last) qualify row_number() over o <= 10"""
+
+
 def _framed(value: str) -> str:
     return f"coalesce(cast(strlen(cast({value} as varchar)) as varchar) || ':' || {value}, '-')"
 
@@ -142,5 +156,6 @@ SQL = {
     "op6_quality_rules": _rules_sql(),
     "op9_backoff_scores": BACKOFF,
     "op9_backoff_scores_order3": BACKOFF_ORDER3,
+    "op11_ranked_search": _ranked_sql(),
     "op13_merkle_manifest": _merkle_sql(),
 }
