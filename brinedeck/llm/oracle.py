@@ -122,6 +122,18 @@ def _ranked_sql() -> str:
   window o as (partition by item_id order by score desc, doc_id nulls last) qualify row_number() over o <= 10"""
 
 
+REPEATS = """with d as (select row_number() over () as r, doc_id, hex(encode(coalesce(text, ''))) as x from documents),
+  t as (select r, c, substr(x, 2 * c + 1, 2398) as x from (select r, x, unnest(range(0, len(x) // 2 - 199, 1000)) as c from d where len(x) >= 400)),
+  w as (select r, c + p as p, md5_number(substr(x, 2 * p + 1, 400)) as s from (select r, c, x, unnest(range(0, len(x) // 2 - 199)) as p from t)),
+  g as (select r, p, coalesce(p > lag(p) over (partition by r order by p) + 200, true) as fresh from w where s in (select s from w group by s having count(*) > 1)),
+  i as (select r, p, sum(fresh::int) over (partition by r order by p) as span from g),
+  e as (select r, span, min(p) as a, max(p) + 200 as b from i group by r, span),
+  k as (select e.r, b - a as n, substr(d.x, 2 * coalesce(lag(b) over o, 0) + 1, 2 * (a - coalesce(lag(b) over o, 0))) as kept, a, b from e join d on d.r = e.r window o as (partition by e.r order by a)),
+  c as (select r, sum(n) as n_removed, count(*) as n_spans, string_agg(kept, '' order by a) as kept, max(b) as done from k group by r)
+  select doc_id, len(x) // 2 as n_bytes, cast(coalesce(n_removed, 0) as bigint) as n_removed, coalesce(n_spans, 0) as n_spans,
+    sha256(unhex(coalesce(kept || substr(x, 2 * done + 1), x))) as kept_sha256 from d left join c using (r)"""
+
+
 def _framed(value: str) -> str:
     return f"coalesce(cast(strlen(cast({value} as varchar)) as varchar) || ':' || {value}, '-')"
 
@@ -157,5 +169,6 @@ SQL = {
     "op9_backoff_scores": BACKOFF,
     "op9_backoff_scores_order3": BACKOFF_ORDER3,
     "op11_ranked_search": _ranked_sql(),
+    "op12_repeats": REPEATS,
     "op13_merkle_manifest": _merkle_sql(),
 }

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brinedeck.llm import backoff, binary_ids, merkle, mixing, neighbours, oracle, packing, quality_model, quality_rules, ranked_search, sharding, simhash, toxicity
+from brinedeck.llm import backoff, binary_ids, merkle, mixing, neighbours, oracle, packing, quality_model, quality_rules, ranked_search, repeats, sharding, simhash, toxicity
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -78,6 +78,11 @@ def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search.ranked_search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), k=10)
 
 
+def op12_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the bytes of strings of 200 bytes that occur more than once."""
+    return repeats.without_repeats(_table(spark, sf_dir, "documents"), length=200)
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaf, roots, proof and verdict of all documents; every seventh by crc32 claims one character more than it was entered with."""
     return merkle.manifest(
@@ -89,6 +94,6 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_pack_sequences, op2_nearest_vectors, op3_mix_sources, op4_shard_documents, op5_toxicity, op6_quality_rules, op7_quality_model,
-    op8_simhash_groups, op9_backoff_scores, op9_backoff_scores_order3, op10_token_id_files, op11_ranked_search, op13_merkle_manifest,
+    op8_simhash_groups, op9_backoff_scores, op9_backoff_scores_order3, op10_token_id_files, op11_ranked_search, op12_repeats, op13_merkle_manifest,
 )}
 SQL = oracle.SQL

@@ -176,16 +176,18 @@ def _best(first: int, k: int):
 
     def pick(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            found = {"query": [], "doc_id": [], "gone": [], "score": []}
             for row in batch.itertuples():
                 ids, missing = np.frombuffer(row.ids, "<i8"), np.frombuffer(row.missing, np.uint8)
                 places, scores, _ = _unpack(row)
                 for q, (at, score) in enumerate(zip(places, scores, strict=True)):
                     at, score = at[score > 0], score[score > 0]
-                    order = np.lexsort((ids[at], missing[at], -score))[:k]
-                    chosen = at[order]
-                    doc_id = pd.array(ids[chosen], dtype="Int64")
-                    doc_id[missing[chosen] > 0] = pd.NA
-                    yield pd.DataFrame({"query": int(row.bundle) * first + q, "doc_id": doc_id, "score": score[order]})
+                    best = np.lexsort((ids[at], missing[at], -score))[:k]
+                    for c, v in zip(found, (np.full(len(best), int(row.bundle) * first + q), ids[at[best]], missing[at[best]], score[best]), strict=True):
+                        found[c].append(v)
+            out = pd.DataFrame({c: np.concatenate(v) if v else np.zeros(0, np.int64) for c, v in found.items()})
+            out["doc_id"] = out["doc_id"].astype("Int64").mask(out["gone"] > 0)
+            yield out.drop(columns="gone")
 
     return pick
 
