@@ -56,20 +56,21 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/brinedeck/{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame) -> DataFrame:
+def settle(df: DataFrame, codec: str | None = None) -> DataFrame:
     """``df`` written to the shared folder and read back: the plan ends there, and lost executors cost no recomputation."""
     path = shared_folder(df.sparkSession)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def in_order(df: DataFrame, keys: Sequence[Column | str]) -> DataFrame:
+def in_order(df: DataFrame, keys: Sequence[Column | str], dealt_by: Sequence[Column | str] | None = None, codec: str | None = None) -> DataFrame:
     """``df`` settled in the global order of ``keys``, with ``_part`` (range partition) and ``_row`` (place in all rows, from 0).
 
     Rows are dealt by range, so no task holds more than its share unless more rows agree in
-    all keys; the only table that is not dealt has one row per partition.
+    all keys; the only table that is not dealt has one row per partition. ``dealt_by`` deals by
+    shorter keys of the same order: a sample of them goes to the driver.
     """
-    placed = settle(df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_at", F.monotonically_increasing_id()))
+    placed = settle(df.repartitionByRange(*(dealt_by or keys)).sortWithinPartitions(*keys).withColumn("_at", F.monotonically_increasing_id()), codec)
     part = F.shiftright("_at", ROW_BITS).cast("int")
     sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)

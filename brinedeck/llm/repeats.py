@@ -19,10 +19,11 @@ or in two; it is maximal if its occurrences differ in the byte before and in the
    prefix length) is closed by one scan over the edges of all pieces.
 
 Names and contents are compared by 64-bit hashes within one name, texts by 128 bits. A stretch
-that repeats itself with a short period p would have as many suffixes as positions, each nearly
-as long as the stretch: there, suffixes other than the first two are cut after 2p + 3 * length
-bytes, and one more starts so far before the end of the stretch. The bytes covered stay the same; repeats
-inside such a stretch are reported in parts.
+that repeats itself with a period p would have nearly as many suffixes as bytes, each nearly
+as long as the stretch: there, the suffixes between the second period and the last
+2p + ``length`` bytes are left out, and one more starts where these last bytes do, as if the
+text began there. The bytes covered stay the same (each of the stretch by its first two
+periods, those around its end by the last suffixes); repeats inside such a stretch are reported with its ends only.
 
 Cases: null texts are empty; texts under ``length`` bytes hold no window; a text with copies is a
 repeat as a whole if it is long enough; repeated rows, whatever their ids, are copies; an empty table gives an empty result;
@@ -37,7 +38,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from brinedeck.llm.common import in_order, settle, ship
@@ -129,7 +130,7 @@ def _signed(h: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(h).view(np.int64)
 
 
-_SEGMENT = "name long, key long, first long, windows long, known boolean, beacon boolean"
+_SEGMENT = "name long, key long, first long, windows int, known boolean, beacon boolean"
 
 
 def _find_segments(length: int):
@@ -187,24 +188,33 @@ def _cut_regions(length: int):
     return cut
 
 
-_CONTENT = "name long, content long, id binary, region long, first long, before int, bytes binary"
+_CONTENT = "name long, content long, id binary, region long, first long, lo int, hi int, n long, bytes binary"
 
 
 def _read_segments(length: int):
-    """Segments of the regions (by text and first byte) with a hash of their content, and the bytes where they are first met in a batch."""
+    """Segments of the regions (by text and first byte) with a hash of their content.
+
+    The first row of a content in a batch also has its bytes, how often the batch has it, and the least and greatest byte before.
+    """
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out, seen = [], set()
+            out, met = [], {}
             for name_of, at, before, raw in zip(batch["id"], batch["at"], batch["before"], batch["data"], strict=True):
                 first, windows, names = segments(_view(raw), length)
                 for a, w, name in zip(first.tolist(), windows.tolist(), _signed(names).tolist(), strict=True):
                     content = raw[a : a + w + length - 1]
                     digest = int.from_bytes(hashlib.blake2b(content, digest_size=8).digest(), "little", signed=True)
-                    new = (name, digest) not in seen
-                    seen.add((name, digest))
-                    out.append((name, digest, name_of, at, at + a, raw[a - 1] if a else before, content if new else None))
-            yield pd.DataFrame(out, columns=["name", "content", "id", "region", "first", "before", "bytes"])
+                    prior = raw[a - 1] if a else before
+                    have = met.get((name, digest))
+                    if have is None:
+                        met[name, digest] = have = [name, digest, name_of, at, at + a, prior, prior, 1, content]
+                        out.append(have)
+                    else:
+                        have[5], have[6], have[7] = min(have[5], prior), max(have[6], prior), have[7] + 1
+                        out.append([name, digest, name_of, at, at + a, None, None, None, None])
+            out = pd.DataFrame(out, columns=["name", "content", "id", "region", "first", "lo", "hi", "n", "bytes"])
+            yield out.astype({"lo": "Int32", "hi": "Int32", "n": "Int64"})
 
     return read
 
@@ -222,23 +232,29 @@ def _runs(places: np.ndarray) -> list[int]:
 
 def _windows_of(rows: pd.DataFrame, length: int) -> dict[str, np.ndarray]:
     """All windows of contents: row, offset, hash, least and greatest byte before, occurrences."""
-    parts = {c: [] for c in ("row", "offset", "hash", "lo", "hi", "n")}
-    for k, (raw, lo, hi, n) in enumerate(zip(rows["bytes"], rows["lo"], rows["hi"], rows["n"], strict=True)):
-        data = _view(raw)
-        h = window_hashes(data, length)
-        before = np.concatenate(([0], data[: len(h) - 1])).astype(np.int32)
-        low, high = before.copy(), before
-        low[0], high[0] = lo, hi
-        for c, v in zip(parts, (np.full(len(h), k), np.arange(len(h)), h, low, high, np.full(len(h), n)), strict=True):
-            parts[c].append(v)
-    return {c: np.concatenate(v) for c, v in parts.items()}
+    data = _view(b"".join(rows["bytes"]))
+    sizes = rows["bytes"].map(len).to_numpy(np.int64)
+    begin = np.cumsum(sizes) - sizes
+    windows = sizes - length + 1
+    row = np.repeat(np.arange(len(rows)), windows)
+    offset = np.arange(len(row)) - np.repeat(np.cumsum(windows) - windows, windows)
+    at = begin[row] + offset
+    before, inside = data[np.maximum(at - 1, 0)].astype(np.int32), offset > 0
+    pick = lambda c: rows[c].to_numpy()[row]
+    low, high = (np.where(inside, before, pick(c)) for c in ("lo", "hi"))
+    return {"row": row, "offset": offset, "hash": window_hashes(data, length)[at], "lo": low, "hi": high, "n": pick("n")}
+
+
+def _merged(rows: pd.DataFrame) -> pd.DataFrame:
+    """One row for each content, with what all batches know of it."""
+    return rows.groupby(["name", "content"], as_index=False).agg({"lo": "min", "hi": "max", "n": "sum", "bytes": "first"})
 
 
 def _judge(length: int):
     """Segments of some names: at which windows starts lie, and which windows occur twice."""
 
     def judge(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.reset_index(drop=True)
+        rows = _merged(rows)
         w = _windows_of(rows, length)
         name = rows["name"].to_numpy().view(np.uint64)[w["row"]]
         _, which = np.unique(_mixed(name * _A + w["hash"]), return_inverse=True)
@@ -277,7 +293,8 @@ def _explode_windows(length: int):
 
 def _judge_rows(contents: DataFrame, length: int) -> DataFrame:
     """Verdicts as from ``_judge`` where a name has too many contents for one task: windows meet as rows, counted before they are sent."""
-    rows = settle(contents.mapInPandas(_explode_windows(length), "name long, content long, offset long, hash long, lo int, hi int, n long"))
+    whole = contents.groupBy("name", "content").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("n").alias("n"), F.max("bytes").alias("bytes"))
+    rows = settle(whole.mapInPandas(_explode_windows(length), "name long, content long, offset long, hash long, lo int, hi int, n long"))
     found = rows.groupBy("name", "hash").agg(F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi")).filter("n > 1")
     told = found.select("name", "hash", ((F.col("lo") != F.col("hi")) | (F.col("lo") == EDGE)).alias("start"))
     met = rows.select("name", "hash", "content", "offset").join(told.toDF("name", "hash", "start"), ["name", "hash"])
@@ -306,7 +323,7 @@ def _common(a: bytes, b: bytes) -> int:
 
 
 def _suffixes(data: bytes, runs: list[tuple[int, int]], starts: list[int], length: int) -> Iterator[tuple[int, int, bool]]:
-    """Start, end and whether the left side counts, of the suffixes of a region; stretches with a short period are cut."""
+    """Start, end and whether the left side counts, of the suffixes of a region; of stretches with a period those at their ends."""
     for a, b in runs:
         end = b + length - 1
         mine = starts[bisect_left(starts, a) : bisect_left(starts, b)]
@@ -322,15 +339,13 @@ def _suffixes(data: bytes, runs: list[tuple[int, int]], starts: list[int], lengt
                     k += 1
                     continue
                 stop = i + p + _common(data[i:end], data[i + p : end])
-                room = 2 * p + 3 * length
+                room = 2 * p + length
                 if stop - i >= room:
                     forced.add(stop - room)
-                    for s in mine[bisect_left(mine, i) : bisect_left(mine, stop - room)]:
-                        if s not in (i, i + p):
-                            ends[s] = min(ends[s], s + room)
+                    for s in mine[bisect_left(mine, i + 2 * p) : bisect_left(mine, stop - room)]:
+                        ends.pop(s, None)
                 k = max(k + 1, bisect_left(places, stop - length - p + 1))
-        for s in forced:
-            ends.setdefault(s, end)
+        ends |= dict.fromkeys(forced, end)
         for s, e in ends.items():
             yield s, e, s not in forced
 
@@ -535,38 +550,32 @@ def maximal_repeats(docs: DataFrame, length: int = 200, together: int = 4096) ->
     texts = whole.groupBy("id").agg(F.first("n_bytes").alias("n_bytes"), F.count(F.lit(1)).alias("copies"))
     keyed = docs.select(text.alias("text"), F.xxhash64(text).alias("key")).filter(F.octet_length("text") >= length)
 
-    found = settle(keyed.select("key", "text").mapInPandas(_find_segments(length), _SEGMENT))
-    place = F.xxhash64("key", "first")
-    twice = (
-        found.filter("beacon").groupBy("name").agg(F.min(place).alias("a"), F.max(place).alias("b"), F.max("known").alias("known"))
-        .filter("known or a <> b").select(F.col("name").alias("of"))
-    )
-    others = found.filter("not known").join(twice, F.col("name") == F.col("of"), "left_semi")
-    candidates = others.select("key", "first", "windows").unionByName(found.filter("known").select("key", "first", "windows"))
+    found = settle(keyed.select("key", "text").mapInPandas(_find_segments(length), _SEGMENT), "zstd")
+    place, same = F.xxhash64("key", "first"), Window.partitionBy("name")
+    beacons = found.filter("beacon").select("name", "key", "first", "windows", "known")
+    beacons = beacons.withColumns({"twice": F.max("known").over(same) | (F.min(place).over(same) != F.max(place).over(same))}).filter("twice")
+    candidates = beacons.select("key", "first", "windows").unionByName(found.filter("known and not beacon").select("key", "first", "windows"))
     spans = candidates.groupBy("key").agg(F.collect_set(F.struct("first", "windows")).alias("spans"))
     distinct = keyed.groupBy("key").agg(F.collect_set("text").alias("texts"))
-    regions = settle(distinct.join(spans, "key").select(F.explode("texts").alias("text"), "spans").mapInPandas(_cut_regions(length), _REGION))
-
-    parts = settle(regions.mapInPandas(_read_segments(length), _CONTENT))
-    contents = parts.groupBy("name", "content").agg(
-        F.min("before").alias("lo"), F.max("before").alias("hi"), F.count(F.lit(1)).alias("n"), F.max("bytes").alias("bytes")
-    )
-    contents = settle(contents)
-    crowds = contents.groupBy("name").agg(F.count(F.lit(1)).alias("many"), F.sum("n").alias("all")).filter("all > 1").withColumnRenamed("name", "of")
-    known = contents.join(crowds, F.col("name") == F.col("of")).select("name", "content", "lo", "hi", "n", "bytes", "many")
-    tasks = max(1, crowds.agg(F.coalesce(F.sum("many"), F.lit(0))).first()[0] // 20_000)
-    dealt = known.filter(F.col("many") <= together).withColumn("task", F.pmod(F.xxhash64("name"), F.lit(tasks)))
-    verdicts = dealt.groupBy("task").applyInPandas(_judge(length), _VERDICT)
-    hot = known.filter(F.col("many") > together).drop("many")
-    if not hot.isEmpty():
-        verdicts = verdicts.unionByName(_judge_rows(hot, length))
+    regions = settle(distinct.join(spans, "key").select(F.explode("texts").alias("text"), "spans").mapInPandas(_cut_regions(length), _REGION), "zstd")
+
+    parts = settle(regions.mapInPandas(_read_segments(length), _CONTENT), "zstd")
+    contents = parts.filter("n is not null").select("name", "content", "lo", "hi", "n", "bytes")
+    crowds = settle(contents.groupBy("name").agg(F.count(F.lit(1)).alias("many")).filter(F.col("many") > together).select(F.col("name").alias("of")))
+    usual = contents
+    if not crowds.isEmpty():
+        usual = contents.join(crowds, F.col("name") == F.col("of"), "left_anti")
+    tasks = max(1, contents.count() // 20_000)
+    verdicts = usual.groupBy(F.pmod(F.xxhash64("name"), F.lit(tasks))).applyInPandas(_judge(length), _VERDICT)
+    if not crowds.isEmpty():
+        verdicts = verdicts.unionByName(_judge_rows(contents.join(crowds, F.col("name") == F.col("of"), "left_semi"), length))
     verdicts = settle(verdicts)
     told = parts.select("name", "content", "id", "region", "first").join(verdicts.toDF("name", "content", "starts", "runs"), ["name", "content"])
     told = told.groupBy("id", F.col("region").alias("at")).agg(F.collect_list(F.struct("first", "starts", "runs")).alias("told"))
 
-    suffixes = settle(regions.join(told, ["id", "at"]).mapInPandas(_read_suffixes(length), _SUFFIX))
+    suffixes = settle(regions.join(told, ["id", "at"]).mapInPandas(_read_suffixes(length), _SUFFIX), "zstd")
     array = suffixes.groupBy("suffix").agg(F.min("before").alias("lo"), F.max("before").alias("hi"), F.count(F.lit(1)).alias("n"), F.max("bytes").alias("bytes"))
-    array = in_order(array, ["bytes"])
+    array = in_order(array, ["bytes"], dealt_by=[F.substring("bytes", 1, 512)], codec="zstd")
     scanned = settle(array.select("_row", "bytes", "n", "lo", "hi").mapInPandas(_scan_piece(length), _SCAN))
     edges = scanned.filter("kind in ('item', 'last')").repartition(1).sortWithinPartitions("piece", "place")
     closed = settle(edges.mapInPandas(_scan_edges(length), _SCAN))

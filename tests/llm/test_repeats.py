@@ -62,6 +62,8 @@ def corpus(seed):
     for _ in range(8):
         cut = rng.randrange(700)
         texts.append(long[:cut] + "XYZ"[rng.randrange(3)] + long[cut + 1 :])
+    nested = ("ab" * 20 + "c") * 9
+    texts += [nested, "ab" * 7 + "c" + nested + "tail", "d" + nested[11:] + "tail", nested[3:90] + "end", "ba" * 33 + "tail of it", "ab" * 40 + "cab", "abc" * 50 + "x", "bca" * 9 + "bcx"]
     texts += [texts[10], texts[10], texts[11], long, "ab" * 300, "q" * 900 + "tail of it", "zz" + "q" * 800 + "tail of it", "Ωßé中" * 40, "x" + "Ωßé中" * 30]
     return texts
 
