@@ -10,20 +10,21 @@ from pyspark.sql import functions as F
 from brinedeck.fixed_values import FALLBACK_REGIONS
 from brinedeck.functions.timefn import decimal_year
 from brinedeck.operators.geo import region_bbox_fallback, region_boxes, region_join
-from brinedeck.operators.grid import block_mean, box_series, cell_trend, depth_bin_series, doy_climatology, regrid_bins
+from brinedeck.operators.grid import block_mean, box_series, cell_trend, depth_bin_series, doy_climatology
 from brinedeck.operators.quality import in_bbox
+from brinedeck.operators.surface import fitted_surface
 
 
-def mooring_products(series: DataFrame, *, nx: int = 200, ny: int = 200) -> dict[str, DataFrame]:
+def mooring_products(series: DataFrame, *, nx: int = 200, ny: int = 200, cells: tuple[int, int] = (1, 5), levels: int = 8) -> dict[str, DataFrame]:
     """Contour grid, depth-bin series and day-of-year climatology of all sites at once.
 
-    ``series`` has site, time, depth and temp.  The contour grid holds bin
-    means over the common time and depth range.
+    ``series`` has site, time, depth and temp.  The contour grid is the surface
+    fitted to each site over its range of time (as decimal year) and depth.
     """
     timed = series.withColumn("decimal_year", decimal_year(F.col("time")))
     cols = {"site": "site", "time": "time", "depth": "depth", "value": "temp"}
     return {
-        "contour": regrid_bins(timed, x="decimal_year", y="depth", value="temp", nx=nx, ny=ny, by=["site"]),
+        "contour": fitted_surface(timed, x="decimal_year", y="depth", value="temp", nx=nx, ny=ny, by=["site"], cells=cells, levels=levels),
         "series": depth_bin_series(series, **cols),
         "climatology": doy_climatology(series, **cols),
     }

@@ -9,7 +9,10 @@ cluster profile that turns them off is easy to spot.
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -35,8 +38,23 @@ def build_session(app: str = "brinedeck", master: str | None = None, **conf: str
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach, for tables written between jobs: ``spark.checkpoint.dir``, which must be set."""
+    """Folder every executor can reach, for tables written between jobs: ``spark.checkpoint.dir``.
+
+    A session on one machine that names none (tests, small runs) gets a folder of its own; a
+    cluster must name one.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not named:
+    if named:
+        return named
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return named
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="brinedeck-"))
+    return spark.sparkContext.getCheckpointDir()
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder and read back: the plan ends there, and lost executors cost no recomputation."""
+    path = f"{shared_folder(df.sparkSession).rstrip('/')}/brinedeck/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
