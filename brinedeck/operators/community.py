@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 import numpy as np
@@ -148,28 +149,77 @@ def factor_fit(scores: DataFrame, *, axes: tuple[str, str], factor: str) -> Data
     return levels.drop("_within").withColumn("r2", r2.scalar())
 
 
+#: Parameters of the rounds that mix a rank and a permutation's number: a prime below 2**31 and multipliers under it.
+MIX_PRIME = 2_147_483_647
+MIX_RANK, MIX_DRAW, MIX_ROUND = 1_103_515_245, 69_069, 1_664_525
+ROUNDS = 6
+#: Tasks among which the permutations are divided.
+DRAWS_APART = 32
+
+
+def rank_square(n: int) -> tuple[int, int, int]:
+    """Sides a and b of a rectangle that holds n ranks with the fewest places left over, and how many are left."""
+    low, high = max(1, -(-math.isqrt(n) // 2)), max(1, 2 * math.isqrt(n))
+    a = min(range(low, high + 1), key=lambda k: (-n % k, k))
+    b = max(1, -(-n // a))
+    return a, b, a * b - n
+
+
+def permuted_rank(df: DataFrame, n: int, rank: str = "rank", draw: str = "k", out: str = "slot") -> DataFrame:
+    """Add ``out``: where permutation ``draw`` sends ``rank`` (both from 0), a bijection on 0..n-1 for every draw.
+
+    Ranks are places in a rectangle; each round moves the row by a hash of the column, then the
+    column by a hash of the row, which can be undone, so every round is a bijection on the rectangle.
+    A rank sent to a place that is left over goes on from there; as many times as
+    places are left over always suffice.
+    """
+    a, b, extra = rank_square(n)
+
+    def mixed(value: Column, turn: int) -> Column:
+        y = (value * MIX_RANK + F.col(draw) * MIX_DRAW + turn * MIX_ROUND) % MIX_PRIME
+        return (y * y) % MIX_PRIME
+
+    state = df.withColumn(out, F.col(rank).cast("long")).withColumn(draw, F.col(draw).cast("long"))
+    for walk in range(extra + 1):
+        moved = state.withColumns({"_row": F.floor(F.col(out) / b), "_col": F.col(out) % b})
+        for turn in range(ROUNDS):
+            moved = moved.withColumn("_row", (F.col("_row") + mixed(F.col("_col"), 2 * turn)) % a)
+            moved = moved.withColumn("_col", (F.col("_col") + mixed(F.col("_row"), 2 * turn + 1)) % b)
+        sent = F.col("_row") * b + F.col("_col")
+        state = moved.withColumn(out, sent if walk == 0 else F.when(F.col(out) >= n, sent).otherwise(F.col(out))).drop("_row", "_col")
+    # never null, and so declared: a join's null check would else be pushed through all rounds and grow with each
+    return state.withColumn(out, F.coalesce(out, F.lit(0)))
+
+
+def _ranked(rows: DataFrame, key: str) -> DataFrame:
+    """Rank from 0 in the order of a hash of the key, found in 256 buckets."""
+    hashed = rows.withColumn("_h", F.md5(F.col(key).cast("string")))
+    ranked = ranked_in_buckets(hashed.withColumn("_b", F.substring("_h", 1, 2)), [], "_b", ["_h", key])
+    return ranked.withColumn("rank", F.col("rank") - 1).drop("_h", "_b")
+
+
+def _shuffled(rows: DataFrame, key: str, fixed: Sequence[str], moved: Sequence[str], permutations: int) -> DataFrame:
+    """For each k from 1 on, the ``fixed`` columns of every row with the ``moved`` columns of the row that the permutation names."""
+    ranked = _ranked(rows, key)
+    n = rows.count()
+    hands = min(permutations, DRAWS_APART)  # few rows are sent, and the draws of a row are made in so many tasks
+    apart = ranked.select("rank", *fixed).withColumn("_hand", F.explode(F.sequence(F.lit(1), F.lit(hands)))).repartition(hands, "_hand")
+    every = apart.withColumn("k", F.explode(F.sequence("_hand", F.lit(permutations), F.lit(hands)))).drop("_hand")
+    slots = ranked.select(F.col("rank").alias("slot"), *moved)
+    return permuted_rank(every, n).join(slots, "slot") if n else every.limit(0).crossJoin(slots.limit(0))
+
+
 def env_fit_test(
     scores: DataFrame, *, key: str, axes: tuple[str, str], variables: Sequence[str], permutations: int = 1000,
 ) -> DataFrame:
     """R2 of each variable with its permutation p-value, (1 + hits) / (permutations + 1).
 
-    Permutation k gives the site of rank r in the order of a hash of (key, k)
-    the variables of the site of rank r in the order for k = 0.  Ranks are found
-    in 256 hash buckets, so that no permutation is sorted in one task, and the
-    permuted fits come out of one aggregation by k.
+    Sites are ranked once.  Permutation k is a keyed bijection on ranks, so no permutation is
+    sorted or hashed into order, and the permuted fits come out of one aggregation by k.
     """
     rows = scores.select(key, *axes, *variables).dropna()
-    draw = F.md5(F.concat_ws("|", F.col(key).cast("string"), F.col("k").cast("string")))
-
-    def ranks(df: DataFrame) -> DataFrame:
-        hashed = df.withColumn("_h", draw)
-        return ranked_in_buckets(hashed.withColumn("_b", F.substring("_h", 1, 2)), ["k"], "_b", ["_h", key])
-
-    slots = ranks(rows.select(key, *variables).withColumn("k", F.lit(0))).select("rank", *variables)
-    shuffled = ranks(
-        rows.select(key, *axes).withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(permutations))))
-    ).select("k", "rank", *axes)
-    permuted = _fit_rows(shuffled.join(slots, "rank").groupBy("k").agg(*_moments(axes, variables)), variables, ["k"])
+    shuffled = _shuffled(rows, key, axes, variables, permutations)
+    permuted = _fit_rows(shuffled.groupBy("k").agg(*_moments(axes, variables)), variables, ["k"])
     observed = _fit_rows(rows.agg(*_moments(axes, variables)), variables, [])
     one_row_per_variable = F.broadcast(observed.select("variable", F.col("r2").alias("_r2")))
     hits = permuted.join(one_row_per_variable, "variable").groupBy("variable").agg(
@@ -178,3 +228,20 @@ def env_fit_test(
     return observed.join(F.broadcast(hits), "variable").withColumn(
         "p_value", (F.col("hits") + 1) / F.lit(float(permutations + 1))
     )
+
+
+def factor_fit_test(scores: DataFrame, *, key: str, axes: tuple[str, str], factor: str, permutations: int = 1000) -> DataFrame:
+    """R2 of a factor with its permutation p-value: levels are dealt anew to the sites, which keep their places."""
+    u, v = axes
+    rows = scores.select(key, u, v, factor).dropna()
+
+    def r2(of: DataFrame, by: Sequence[str]) -> DataFrame:
+        levels = of.groupBy(*by, factor).agg(F.count(F.lit(1)).alias("n"), F.sum(u).alias("_su"), F.sum(v).alias("_sv"), F.sum(F.col(u) * F.col(u) + F.col(v) * F.col(v)).alias("_ss"))
+        inner = F.sum((F.col("_su") * F.col("_su") + F.col("_sv") * F.col("_sv")) / F.col("n"))
+        centre = (F.sum("_su") * F.sum("_su") + F.sum("_sv") * F.sum("_sv")) / F.sum("n")
+        return levels.groupBy(*by).agg(ratio(inner - centre, F.sum("_ss") - centre).alias("r2"))
+
+    observed = r2(rows, [])
+    permuted = r2(_shuffled(rows, key, axes, [factor], permutations), ["k"])
+    hits = permuted.withColumn("_r2", observed.scalar()).agg(F.count_if(F.col("r2") >= F.col("_r2") - 1e-12).alias("hits"))
+    return observed.withColumn("hits", hits.scalar()).select("r2", "hits", ((F.col("hits") + 1) / F.lit(float(permutations + 1))).alias("p_value"))

@@ -18,30 +18,33 @@ from brinedeck.sources import schemas
 
 def read_obs_csv(
     spark: SparkSession, path: str, table: Mapping[str, tuple[str, str]],
-    null_tokens: Iterable[str] = NULL_TOKENS, preamble: int = 0,
+    null_tokens: Iterable[str] = NULL_TOKENS, preamble: int = 0, width: int = 64,
 ) -> DataFrame:
     """Columns of ``table`` from CSV files with a header line, after ``preamble`` lines that are left out.
 
     Fields are found by the header of their own file, so files may order their
     columns differently or lack some.  They are read as text, null tokens
     become NULL, and the rest is cast, so no pass over the data infers types.
-    Records end with their line.
+    Lines are cut by Spark's CSV parser: a quote inside a field that does not begin
+    with one is text.  Records end with their line.  A header of more than
+    ``width`` columns is an error.
     """
-    located = _lines_with_header(spark, path, preamble)
-    fields, header = _fields(F.col("value")), F.transform(_fields(F.col("header")), lambda c: F.lower(F.trim(c)))
-    cut = located.select(fields.alias("_fields"), header.alias("_header"))
+    names = F.transform(_cells(F.col("header"), width + 1), lambda c: F.lower(F.trim(c)))
+    names = F.when(F.get(names, F.lit(width)).isNotNull(), F.raise_error(F.lit(f"a header has more than {width} columns"))).otherwise(names)
+    places = F.struct(*[F.array_position(names, F.lit(source.lower())).cast("int").alias(f"_{k}") for k, (source, _) in enumerate(table.values())])
+    cut = _lines_with_header(spark, path, preamble, places).select(_cells(F.col("value"), width).alias("_fields"), "_places")
     tokens = list(null_tokens)
     out = []
-    for name, (source, kind) in table.items():
-        at = F.array_position("_header", F.lit(source.lower())).cast("int")
+    for k, (name, (_, kind)) in enumerate(table.items()):
+        at = F.col(f"_places._{k}")
         text = F.when(at > 0, F.get("_fields", at - 1))
         text = F.when((text != "") & ~text.isin(tokens), text)
         out.append((text if kind == "string" else text.try_cast(kind)).alias(name))
     return cut.select(*out)
 
 
-def _lines_with_header(spark: SparkSession, path: str, preamble: int) -> DataFrame:
-    """Data lines with the header line of their file.
+def _lines_with_header(spark: SparkSession, path: str, preamble: int, places: Column) -> DataFrame:
+    """Data lines with ``places``, worked out once from the header line of their file.
 
     Lines are numbered as they are read.  The first number of a file's first
     block gives each line its place, and the header is the line at place
@@ -53,17 +56,16 @@ def _lines_with_header(spark: SparkSession, path: str, preamble: int) -> DataFra
     top = lines.filter("_top")
     starts = top.groupBy("_file").agg(F.min("_n").alias("_first"))
     heads = top.join(starts, "_file").filter(F.col("_n") == F.col("_first") + preamble).select("_file", F.col("value").alias("header"), F.col("_n").alias("_head"))
+    heads = heads.select("_file", "_head", places.alias("_places"))
     body = lines.join(heads, "_file").filter(~F.col("_top") | (F.col("_n") > F.col("_head")))
-    return body.filter(F.trim("value") != "").select("value", "header")
+    return body.filter(F.trim("value") != "").select("value", "_places")
 
 
-def _fields(line: Column) -> Column:
-    """Fields of a CSV line; commas inside quotes don't cut, doubled quotes stand for one."""
-    quoted = F.transform(
-        F.split(line, ',(?=(?:[^"]*"[^"]*")*[^"]*$)', -1),
-        lambda f: F.when(f.rlike('^".*"$'), F.replace(F.substring(f, F.lit(2), F.length(f) - 2), F.lit('""'), F.lit('"'))).otherwise(f),
-    )
-    return F.when(F.contains(line, F.lit('"')), quoted).otherwise(F.split(line, ",", -1))
+def _cells(line: Column, width: int) -> Column:
+    """The first ``width`` fields of a CSV line; doubled quotes in a quoted field stand for one. The line is parsed once, not once a field."""
+    names = [f"_{i}" for i in range(width)]
+    parsed = F.from_csv(line, ", ".join(f"{n} string" for n in names), {"quote": '"', "escape": '"', "maxCharsPerColumn": "-1"})
+    return F.get(F.transform(F.array(parsed), lambda s: F.array(*[s[n] for n in names])), F.lit(0))
 
 
 def load_stations(spark: SparkSession, path: str, project: str = PROJECT) -> DataFrame:

@@ -55,11 +55,16 @@ def factor_fit(spark, d):
 
 
 def env_fit_test(spark, d):
-    out = op.env_fit_test(_scores(spark, d), key="vec_id", axes=("u", "v"), variables=VARIABLES, permutations=99)
+    out = op.env_fit_test(_scores(spark, d), key="vec_id", axes=("u", "v"), variables=VARIABLES, permutations=1000)
     return out.select("variable", r("r2").alias("r2"), "hits", r("p_value").alias("p_value"))
 
 
-QUERIES = {f.__name__: f for f in (wisconsin, bray_curtis, bray_curtis_transformed, community_selection, env_fit, factor_fit, env_fit_test)}
+def factor_fit_test(spark, d):
+    out = op.factor_fit_test(_scores(spark, d), key="vec_id", axes=("u", "v"), factor="label", permutations=1000)
+    return out.select(r("r2").alias("r2"), "hits", r("p_value").alias("p_value"))
+
+
+QUERIES = {f.__name__: f for f in (wisconsin, bray_curtis, bray_curtis_transformed, community_selection, env_fit, factor_fit, env_fit_test, factor_fit_test)}
 
 _CELLS = f"cells as (select site, taxon, sum(n) as n from {COMMUNITY} group by all)"
 _SHARES = f"""{_CELLS}, roots as (select site, taxon, sqrt(n) as n from cells), tops as (select site, taxon, n / max(n) over (partition by taxon) as n from roots),
@@ -81,6 +86,22 @@ def _fit_sql(source: str, by: str) -> str:
       select {by}variable, var_pop(u) as uu, var_pop(v) as vv, covar_pop(u, v) as uv, covar_pop(u, z) as cu, covar_pop(v, z) as cv, var_pop(z) as zz from {source} group by all)))"""
 
 
+def _permuted_sql(source: str) -> str:
+    """Ranked rows of ``source`` and where each of 1000 bijections sends a rank: rounds on a rectangle, again from places left over."""
+    turns = []
+    for turn in range(op.ROUNDS):
+        mixed = lambda c, t: f"(({c} * {op.MIX_RANK} + k * {op.MIX_DRAW} + {t * op.MIX_ROUND}) % {op.MIX_PRIME})"  # noqa: B023, E731
+        x, y = mixed("y", 2 * turn), mixed("x", 2 * turn + 1)
+        turns += [f"select k, rank, a, b, n, (x + ({x} * {x}) % {op.MIX_PRIME}) % a as x, y from", f"select k, rank, a, b, n, x, (y + ({y} * {y}) % {op.MIX_PRIME}) % b as y from"]
+    step = lambda rows: "".join(f"{t} (" for t in reversed(turns)) + rows + ")" * len(turns)
+    return f"""ranked as materialized (select *, row_number() over (order by md5(cast(vec_id as varchar)), vec_id) - 1 as rank from {source}),
+      size as (select count(*) as n, cast(floor(sqrt(count(*))) as bigint) as s from ranked),
+      sides as materialized (select n, a, cast(ceil(n / a) as bigint) as b from (select n, unnest(range((s + 1) // 2, 2 * s + 1)) as a from size) order by (a - n % a) % a, a limit 1),
+      walk as (select k, rank, a, b, n, x * b + y as slot from ({step("select k, rank, a, b, n, rank // b as x, rank % b as y from ranked, sides, range(1, 1001) t(k)")})
+        union all select k, rank, a, b, n, x * b + y from ({step("select k, rank, a, b, n, slot // b as x, slot % b as y from walk where slot >= n")})),
+      sent as (select k, rank, slot from walk where slot < n)"""
+
+
 SQL = {
     "wisconsin": f"with {_SHARES} select site, taxon, round(n, 9) as share from shares",
     "bray_curtis": f"with {_CELLS}{_BRAY.format(t='cells')}",
@@ -92,11 +113,14 @@ SQL = {
       l as (select label, count(*) as n, avg(u) as axis1, avg(v) as axis2, var_pop(u) + var_pop(v) as w from scores group by 1),
       f as (select 1 - sum(n * w) / sum(n) / any_value(total) as r2 from l, t)
       select label, n, round(axis1, 6) as axis1, round(axis2, 6) as axis2, round(r2, 6) as r2 from l, f""",
-    "env_fit_test": f"""with {_SCORES},
-      slots as (select row_number() over (order by md5(vec_id || '|0'), vec_id) as rank, lat, sst, chl from full_rows),
-      sh as (select k, u, v, row_number() over (partition by k order by md5(vec_id || '|' || k), vec_id) as rank from full_rows, range(1, 100) t(k)),
-      perm as (select k, u, v, unnest(['lat', 'sst', 'chl']) as variable, unnest([lat, sst, chl]) as z from sh join slots using (rank)),
+    "env_fit_test": f"""with recursive {_SCORES}, {_permuted_sql("full_rows")},
+      perm as (select k, s.u, s.v, unnest(['lat', 'sst', 'chl']) as variable, unnest([t.lat, t.sst, t.chl]) as z from sent join ranked s using (rank) join ranked t on t.rank = sent.slot),
       o as {_fit_sql('long', '')}, p as {_fit_sql('perm', 'k, ')}
-      select o.variable, round(any_value(o.r2), 6) as r2, count(*) filter (p.r2 >= o.r2 - 1e-12) as hits, round((count(*) filter (p.r2 >= o.r2 - 1e-12) + 1) / 100.0, 6) as p_value
+      select o.variable, round(any_value(o.r2), 6) as r2, count(*) filter (p.r2 >= o.r2 - 1e-12) as hits, round((count(*) filter (p.r2 >= o.r2 - 1e-12) + 1) / 1001.0, 6) as p_value
       from o join p using (variable) group by 1""",
+    "factor_fit_test": f"""with recursive {_SCORES}, {_permuted_sql("scores")},
+      perm as (select k, s.u, s.v, t.label from sent join ranked s using (rank) join ranked t on t.rank = sent.slot union all select 0, u, v, label from ranked),
+      l as (select k, count(*) as n, sum(u) as su, sum(v) as sv, sum(u * u + v * v) as ss from perm group by k, label),
+      f as (select k, (sum((su * su + sv * sv) / n) - (sum(su) * sum(su) + sum(sv) * sum(sv)) / sum(n)) / (sum(ss) - (sum(su) * sum(su) + sum(sv) * sum(sv)) / sum(n)) as r2 from l group by k)
+      select round(o.r2, 6) as r2, count(*) as hits, round((count(*) + 1) / 1001.0, 6) as p_value from f join (select r2 from f where k = 0) o on f.r2 >= o.r2 - 1e-12 where k > 0 group by o.r2""",
 }

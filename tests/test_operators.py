@@ -251,3 +251,26 @@ def test_empty_samples_stay_in_dissimilarities(spark):
     out = community.bray_curtis(spark.createDataFrame(data, "s string, t string, v double"), key="s", taxon="t", value="v")
     got = {(r["a"], r["b"]): r["dissimilarity"] for r in out.collect()}
     assert got == {("a", "b"): 1.0, ("a", "c"): 1.0, ("a", "d"): 0.5, ("b", "c"): None, ("b", "d"): 1.0, ("c", "d"): 1.0}
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 7, 30, 97, 1000, 1009])
+def test_permuted_ranks_are_bijections(spark, n):
+    """Every draw is a permutation, draws differ, and ranks go everywhere about equally often."""
+    draws = 60
+    df = spark.range(n).withColumnRenamed("id", "rank").withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(draws))))
+    got = community.permuted_rank(df, n).toPandas()
+    for _, rows_of in got.groupby("k"):
+        assert sorted(rows_of.slot) == list(range(n))
+    if n >= 30:
+        assert got.groupby("k").slot.apply(tuple).nunique() == draws
+        assert abs(got[["rank", "slot"]].corr().iloc[0, 1]) < 0.05
+
+
+def test_factor_with_an_effect_is_told_from_one_without(spark):
+    rows_of = [(i, float(i % 2) * 3 + (i * 37 % 101) / 50, (i * 53 % 97) / 50, "ab"[i % 2], "xyz"[i * 31 % 89 % 3]) for i in range(300)]
+    df = spark.createDataFrame(rows_of, "id int, u double, v double, f string, g string")
+    strong = community.factor_fit_test(df, key="id", axes=("u", "v"), factor="f", permutations=199).first()
+    weak = community.factor_fit_test(df, key="id", axes=("u", "v"), factor="g", permutations=199).first()
+    assert strong["hits"] == 0 and strong["p_value"] == pytest.approx(1 / 200) and strong["r2"] > 0.7
+    assert weak["p_value"] > 0.02 and weak["r2"] < 0.05
+    assert strong["r2"] == pytest.approx(community.factor_fit(df, axes=("u", "v"), factor="f").first()["r2"])

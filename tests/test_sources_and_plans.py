@@ -265,8 +265,9 @@ def test_mooring_and_community_products(spark):
     assert rows(d) == [("s1", "s2", pytest.approx(1 - 2 * 1 / (2 + 4)))]
     scores = spark.createDataFrame([(i, float(i % 7), float(i % 5)) for i in range(40)], "id int, u double, v double")
     env = spark.createDataFrame([(i, float(i % 7) * 2, "x" if i % 2 else "y", 0.0) for i in range(40)], "id int, z double, f string, u double")
-    vectors, factors = community.environment_fit(scores, env, key="id", axes=("u", "v"), variables=["z"], factors=["f"], permutations=49)
+    vectors, factors, tests = community.environment_fit(scores, env, key="id", axes=("u", "v"), variables=["z"], factors=["f"], permutations=49)
     assert vectors.first()["r2"] == pytest.approx(1.0) and factors["f"].count() == 2
+    assert 0 <= tests["f"].first()["r2"] < 1 and tests["f"].first()["p_value"] == pytest.approx((tests["f"].first()["hits"] + 1) / 50)
 
 
 def test_row_operators_accept_a_stream(spark, tmp_path):
@@ -287,6 +288,19 @@ def test_columns_follow_the_header_of_their_file(spark, tmp_path):
     assert rows(out) == [(1, 2, 'p, "q"'), (4, 3, None), (5, None, None)]
 
 
+def test_a_quote_inside_a_field_is_text(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('trip,x,gear,n\nT1,34.5,5" net,3\nT2,"1,5","a ""b"", c",4\nT3,,"",5\nT4,6\n')
+    out = readers.read_obs_csv(spark, str(tmp_path), {"trip": ("trip", "string"), "x": ("X", "string"), "gear": ("gear", "string"), "n": ("N", "int")})
+    assert rows(out) == [("T1", "34.5", '5" net', 3), ("T2", "1,5", 'a "b", c', 4), ("T3", None, None, 5), ("T4", "6", None, None)]
+
+
+def test_too_wide_a_header_is_an_error(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("a,b,c\n1,2,3\n")
+    assert rows(readers.read_obs_csv(spark, str(tmp_path), {"c": ("c", "int")}, width=3)) == [(3,)]
+    with pytest.raises(Exception, match="more than 2 columns"):
+        readers.read_obs_csv(spark, str(tmp_path), {"b": ("b", "int")}, width=2).collect()
+
+
 def test_data_lines_equal_to_the_preamble_stay(spark, tmp_path):
     for name, order in (("a", "x,y"), ("b", "y,x")):
         (tmp_path / f"{name}.csv").write_text(f"1,2\nabout\n{order}\n1,2\n{order[::-1]}\n3,4\n")
