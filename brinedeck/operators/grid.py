@@ -52,9 +52,10 @@ def block_mean(grid: DataFrame, *, by: Sequence[str], k: int = 4, value: str = "
 
 
 def cell_trend(grid: DataFrame, *, cell: Sequence[str], time: str, value: str = "value") -> DataFrame:
-    """Least-squares slope of each cell over its layers; NULL where the first layer is missing."""
-    first = F.min_by(F.struct(F.col(value).alias("v")), time)["v"]
-    return grid.groupBy(*cell).agg(
+    """Least-squares slope of each cell over its layers; NULL where the first layer of the stack has no value, or no row, for it."""
+    opening = grid.agg(F.min(time)).scalar()
+    first = F.max(F.when(F.col(time) == F.col("_opening"), F.col(value)))
+    return grid.withColumn("_opening", opening).groupBy(*cell).agg(
         F.when(first.isNotNull(), F.regr_slope(F.col(value), F.col(time).cast("double"))).alias("slope")
     )
 

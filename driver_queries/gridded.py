@@ -93,10 +93,10 @@ def match_climatology(spark, d):
 
 
 def weekly_slice(spark, d):
-    """Days of orders after the first of a week as slices; shipments take the first slice after their cycle."""
+    """Days of orders as slices; shipments take the first slice after their cycle."""
     orders = table(spark, d, "orders")
     day = F.round(timefn.days_since(F.col("o_orderdate"), "1800-01-01")).cast("bigint")
-    slices = orders.filter(F.dayofmonth("o_orderdate").isin(1, 9, 17, 25)).select(day.alias("day")).distinct()
+    slices = orders.select(day.alias("day")).distinct()
     mapping = gridmatch.weekly_slices(slices, "day", WEEKLY_ORIGIN_DAY)
     shipped = table(spark, d, "lineitem").select("l_orderkey", timefn.weekly_cycle(F.col("l_shipdate")).alias("cycle"))
     return shipped.join(mapping, "cycle", "left").groupBy("cycle", "day").agg(F.count(F.lit(1)).alias("n"))
@@ -312,7 +312,7 @@ SQL = {
     "match_climatology": f"""with g as (select lon_idx, lat_idx, avg(value) as m, min(value) as ac, max(value) as asn, avg(value) filter (label < 5) as sc, avg(value) filter (label >= 5) as ss from {GRID} group by all)
       select pid, round(m, 6) as mean, round(m + ac * cos{_T} + asn * sin{_T} + sc * cos(2 * {_T}) + ss * sin(2 * {_T}), 6) as value
       from {POINTS} left join g on lon_idx = round_even(x, 0) and lat_idx = round_even(y, 0)""",
-    "weekly_slice": f"""with s as (select distinct cast(date_diff('day', date '1800-01-01', cast(o_orderdate as date)) as bigint) as day from orders where day(o_orderdate) in (1, 9, 17, 25)),
+    "weekly_slice": f"""with s as (select distinct cast(date_diff('day', date '1800-01-01', cast(o_orderdate as date)) as bigint) as day from orders),
       l as (select {_CYCLE.format(t='l_shipdate')} as cycle, count(*) as n from lineitem group by 1),
       lo as (select min(day) as d0 from s)
       select cycle, (select min(day) from s where day > cycle * 7 + 66410 and cycle * 7 + 66410 >= (select d0 from lo) - 7) as day, n from l""",
@@ -337,8 +337,8 @@ SQL = {
     "grid_bbox": f"select label, count(*) as n, round(min(value), 6) as low from {GRID} where lon between 1 and 3 and lat between 2 and 4 group by 1",
     "box_series": f"select vec_id, round(avg(value), 6) as value from {GRID} where lon between 1 and 3 and lat between 2 and 4 group by 1",
     "block_mean": f"select vec_id, lon_idx // 4 as lon_blk, lat_idx // 4 as lat_blk, round(avg(value), 6) as value from {GRID} where value > -0.1 group by 1, 2, 3",
-    "cell_trend": f"""select lon_idx, lat_idx, case when arg_min_null(v, vec_id) is not null then round(regr_slope(v, vec_id), 9) end as slope
-      from (select *, case when value > -0.15 and value < 0.4 then value end as v from {GRID}) group by 1, 2""",
+    "cell_trend": f"""with g as (select *, case when value > -0.15 and value < 0.4 then value end as v from {GRID})
+      select lon_idx, lat_idx, case when max(v) filter (vec_id = (select min(vec_id) from g)) is not null then round(regr_slope(v, vec_id), 9) end as slope from g group by 1, 2""",
     "regrid_bins": f"""with e as (select {_DEC} as t, value % 100 as depth, value from events), b as (select min(t) as t0, max(t) as t1 from e)
       select cast(least(floor((t - t0) * 20 / (t1 - t0)), 19) as integer) as x_bin, cast(least(floor(depth * 25 / 100.0), 24) as integer) as y_bin, avg(floor(value)) as value
       from e, b group by 1, 2""",

@@ -25,8 +25,8 @@ def water_quality(spark, d):
     n = F.col("l_linenumber")
     chemistry = replicate_mean(qc_mask(line.filter(n <= 3).withColumn("nitrate", F.col("l_quantity")), {"nitrate": "flag"}), keys, ["nitrate"])
     pico = replicate_mean(line.filter(n.between(2, 4)).withColumn("pico", F.col("l_discount")), keys, ["pico"])
-    pigments = line.filter((n == 4) & (F.col("l_returnflag") == "A")).select(*keys, F.col("l_tax").alias("chla"))
-    tss = replicate_mean(line.filter(n == 5).withColumn("tss", F.col("l_tax")), keys, ["tss"])
+    pigments = line.filter(n.isin(4, 6)).select(*keys, F.col("l_tax").alias("chla"))
+    tss = replicate_mean(line.filter(n.isin(5, 7)).withColumn("tss", F.col("l_tax")), keys, ["tss"])
     ctd = line.select("TripCode", (n * 5 + F.col("l_discount")).alias("Depth_m"), F.col("l_quantity").alias("Temperature_degC"))
     trips = table(spark, d, "orders").select(F.col("o_orderkey").alias("TripCode"), F.col("o_totalprice").alias("Biomass_mgm3"))
     out = combined_water_quality(trips, chemistry, pico, pigments, tss, ctd, {"CTDTemperature": "Temperature_degC"}, code_prefix="N")
@@ -142,8 +142,8 @@ def _diverse(label: str, where: str) -> str:
 _WQ = """line as (select l_orderkey as "TripCode", cast(l_linenumber * 5 as varchar) as "SampleDepth_m", * from lineitem),
   chem as (select "TripCode", "SampleDepth_m", avg(case when cast(l_quantity as integer) % 10 not in (3, 4, 9) then l_quantity end) as nitrate from line where l_linenumber <= 3 group by all),
   pico as (select "TripCode", "SampleDepth_m", avg(l_discount) as pico from line where l_linenumber between 2 and 4 group by all),
-  pig as (select "TripCode", "SampleDepth_m", l_tax as chla from line where l_linenumber = 4 and l_returnflag = 'A'),
-  tss as (select "TripCode", "SampleDepth_m", avg(l_tax) as tss from line where l_linenumber = 5 group by all),
+  pig as (select "TripCode", "SampleDepth_m", l_tax as chla from line where l_linenumber in (4, 6)),
+  tss as (select "TripCode", "SampleDepth_m", avg(l_tax) as tss from line where l_linenumber in (5, 7) group by all),
   ctd as (select "TripCode", "SampleDepth_m", avg(l_quantity) as t from line group by all),
   u as (select "TripCode", "SampleDepth_m" from chem union select "TripCode", "SampleDepth_m" from pico union select "TripCode", "SampleDepth_m" from pig
     union select "TripCode", "SampleDepth_m" from tss union select o_orderkey, 'WC' from orders)"""

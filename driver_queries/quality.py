@@ -69,9 +69,9 @@ def nullsafe_water_quality_join(spark, d):
     """Samples with a missing depth meet measurements with a missing depth."""
     line = table(spark, d, "lineitem")
     depth = F.when(F.col("l_linenumber") < 7, F.col("l_linenumber"))
-    keyed = line.select(F.col("l_suppkey").alias("trip"), depth.alias("depth"), "l_quantity", "l_returnflag")
+    keyed = line.select(F.col("l_suppkey").alias("trip"), depth.alias("depth"), "l_quantity")
     universe = op.sample_universe(["trip", "depth"], keyed)
-    means = op.replicate_mean(keyed.filter("l_returnflag = 'R'"), ["trip", "depth"], ["l_quantity"])
+    means = op.replicate_mean(keyed, ["trip", "depth"], ["l_quantity"])
     return left_join_nullsafe(universe, means, ["trip", "depth"]).select("trip", "depth", r("l_quantity").alias("quantity"))
 
 
@@ -225,8 +225,8 @@ SQL = {
       from lineitem where l_extendedprice / 1000.0 < 15 group by 1""",
     "nutrient_mean": "select l_orderkey, round(avg(l_quantity), 6) as quantity, round(avg(l_tax), 6) as tax from lineitem group by 1",
     "surface_pigment": "select l_orderkey, round(avg(l_tax), 6) as chl from lineitem where l_quantity <= 25 group by 1",
-    "nullsafe_water_quality_join": """with k as (select l_suppkey as trip, case when l_linenumber < 7 then l_linenumber end as depth, l_quantity, l_returnflag from lineitem),
-      m as (select trip, depth, avg(l_quantity) as q from k where l_returnflag = 'R' group by all)
+    "nullsafe_water_quality_join": """with k as (select l_suppkey as trip, case when l_linenumber < 7 then l_linenumber end as depth, l_quantity from lineitem),
+      m as (select trip, depth, avg(l_quantity) as q from k group by all)
       select u.trip, u.depth, round(q, 6) as quantity from (select distinct trip, depth from k) u
       left join m on u.trip = m.trip and u.depth is not distinct from m.depth""",
     "range_null": """select l_suppkey, count(case when l_quantity > 2 and l_quantity < 40 then 1 end) as n,

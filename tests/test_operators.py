@@ -151,6 +151,8 @@ def test_weekly_slices(spark):
 def test_trend_needs_the_first_layer(spark):
     df = spark.createDataFrame([(1, 0, 1.0), (1, 1, 3.0), (1, 2, 5.0), (2, 0, None), (2, 1, 3.0), (2, 2, 4.0), (3, 0, 1.0), (3, 1, None), (3, 2, 2.0)], "c int, t int, value double")
     assert rows(grid.cell_trend(df, cell=["c"], time="t")) == [(1, 2.0), (2, None), (3, 0.5)]
+    later = df.filter((F.col("c") != 1) | (F.col("t") > df.agg(F.min("t")).first()[0]))  # a cell without a row in the first layer
+    assert dict(rows(grid.cell_trend(later, cell=["c"], time="t")))[1] is None
 
 
 def test_blocks_drop_empty(spark):
