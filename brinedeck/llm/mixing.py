@@ -97,5 +97,6 @@ def repeated(docs: DataFrame, weights: Sequence[float] = (5.0, 2.0, 1.0), epochs
     counted = copies(_sized(docs, seed), weights, epochs).groupBy("doc_id").agg(F.sum("copies").alias("_sum"), F.count(F.lit(1)).alias("_rows"))
     counted = counted.select(F.col("doc_id").alias("_id"), F.greatest(F.col("_sum") > 0, F.lit(False)).cast("int").alias("_some"), F.round(F.col("_sum") / F.col("_rows")).cast("int").alias("_mean"))
     often = counted.filter("_some = 1").select("_id", F.greatest("_mean", "_some").alias("_copies"))
-    met = docs.join(often, docs["doc_id"].eqNullSafe(F.col("_id")))
-    return met.select(*[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy")).drop("_copy")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("of"))  # no clash with the documents' own columns
+    met = rows.join(often, F.col("of").eqNullSafe(F.col("_id")))
+    return met.select("row", F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("copy")).select("row.*")

@@ -232,9 +232,10 @@ def without_near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2)
     named = settle(classes(marked, radius))
     repeated = settle(marked.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 or doc_id is null").select(F.col("doc_id").alias("_id")))
     dropped = marked.join(named, "fp").filter("doc_id <> component_id").select(F.col("doc_id").alias("_id")).distinct()
-    alone = docs.join(dropped.union(repeated), docs["doc_id"] == F.col("_id"), "left_anti").filter("doc_id is not null")
-    unclear = docs.join(repeated, docs["doc_id"].eqNullSafe(F.col("_id")), "left_semi")
-    told = unclear.withColumn("_fp", fingerprint(F.col("text"), shingle)).join(named.select(F.col("fp").alias("_fp"), F.col("root").alias("_root"), F.col("component_id").alias("_first")), "_fp")
-    order = [F.col(c) for c in docs.columns]
-    best = told.filter(F.col("doc_id").eqNullSafe(F.col("_first"))).withColumn("_rank", F.row_number().over(Window.partitionBy("_root").orderBy(*order)))
-    return alone.unionByName(best.filter("_rank = 1").select(*docs.columns))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("of"), F.col("text").alias("words"))  # no clash with the documents' own columns
+    alone = rows.join(dropped.union(repeated), F.col("of") == F.col("_id"), "left_anti").filter("of is not null")
+    unclear = rows.join(repeated, F.col("of").eqNullSafe(F.col("_id")), "left_semi")
+    told = unclear.withColumn("mark", fingerprint(F.col("words"), shingle)).join(named.select(F.col("fp").alias("mark"), "root", "component_id"), "mark")
+    order = [F.to_json(F.struct(f"row.`{f.name}`")) if "map<" in f.dataType.simpleString() else F.col(f"row.`{f.name}`") for f in docs.schema.fields]  # maps have no order
+    best = told.filter(F.col("of").eqNullSafe(F.col("component_id"))).withColumn("rank", F.row_number().over(Window.partitionBy("root").orderBy(*order)))
+    return alone.select("row.*").unionByName(best.filter("rank = 1").select("row.*"))

@@ -191,6 +191,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that are not predicted toxic."""
+    """The rows of ``docs`` that are not predicted toxic, whatever their columns are called."""
     model = fit(docs, labels, **options)
-    return docs.withColumn("_score", score(model, F.col("text"))).filter(F.col("_score") < THRESHOLD).drop("_score")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), score(model, F.col("text")).alias("score"))
+    return rows.filter(F.col("score") < THRESHOLD).select("row.*")

@@ -48,6 +48,28 @@ def test_stages(spark):
     assert packed.groupby("sequence_id").length.sum().max() <= 4096
 
 
+def test_stages_keep_columns_of_any_name(spark):
+    """Extra columns called like those that the operators use, a map among them, come through unchanged; repeated and null ids too."""
+    from brinedeck.llm import mixing, quality_rules, simhash
+
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    names = ["_score", "score", "row", "_row", "_id", "of", "_copy", "copy", "_copies", "_fp", "mark", "_root", "root", "_first", "_rank", "rank", "words", "component_id", "stratum", "kept", "cut", "size"]
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
+    docs = docs.unionByName(docs.limit(2)).unionByName(docs.limit(2).withColumn("doc_id", F.lit(None).cast("long")))
+    wide = docs.select("*", *[F.concat_ws("/", F.lit(n), F.col("doc_id").cast("string")).alias(n) for n in names], F.create_map(F.lit("a"), F.col("n_chars")).alias("pairs"))
+    stages = {
+        "rules": lambda d: quality_rules.accepted(d, labels), "toxic": lambda d: toxicity.without_toxic(d, labels),
+        "near": lambda d: simhash.without_near_duplicates(d, shingle=3, radius=2), "mix": lambda d: mixing.repeated(d, weights=(5.0, 2.0, 1.0), epochs=3.0),
+    }
+    for name, stage in stages.items():
+        out = stage(wide)
+        assert out.columns == wide.columns, name
+        got = sorted([tuple(r) for r in out.select(*docs.columns).collect()], key=str)
+        assert got == sorted([tuple(r) for r in stage(docs).collect()], key=str), name
+        for n in names:
+            assert out.filter(~F.col(n).eqNullSafe(F.concat_ws("/", F.lit(n), F.col("doc_id").cast("string")))).isEmpty(), (name, n)
+
+
 def test_run_equals_its_stages(spark):
     out = corpus_pipeline.run(spark, SF)
     assert {"doc_id", "piece", "sequence_id", "offset", "length"} <= set(out.columns) and out.count() > 0
