@@ -7,19 +7,20 @@
 Counts are those of all other documents: what the document itself adds is taken off, or every
 rare text would vouch for itself. A document's score is the sum of log10 S over its words.
 
-1. Documents are dealt to blocks; a block's n-grams become 64-bit keys with counts.
-2. The count table is partitioned by hash: each key range adds up the counts of all blocks and
-   answers each block for the keys that it asked about, in their order.
-3. Answers meet the block's documents again, whose n-grams are exploded, scored and summed per
-   document.
+1. Documents are dealt to blocks by a hash of their own values; a block's n-grams are exploded into
+   rows (block, gram, n), one for each distinct n-gram, whose key is a 64-bit hash.
+2. The rows are partitioned by hash of the key. The count table adds up a key's rows, and an
+   equi-join on the key, in the same partitioning, tells each block the count of its n-grams.
+   Rows whose n-gram no other block holds are not sent back: the block knows their count.
+3. Answers meet the block's documents, whose n-grams are scored and summed per document.
 
-A block sends each n-gram once, however often it occurs, so that frequent n-grams make no hot
-partition. Key and answer lists travel as packed numbers, a few bytes each, and texts are dealt
-once and read from that exchange twice.
+A block sends each n-gram once, however often it occurs, so a frequent n-gram has at most one row
+per block. Counts are exact but for n-grams whose keys are equal, which are counted together.
 
 Cases: null and wordless texts have no words and the sum 0 (the mean is null); A-Z count as a-z;
-repeated rows are documents of their own; null doc_ids are kept; an empty table gives an empty
-result; columns other than doc_id and text are ignored.
+repeated rows are documents of their own and share a block; null doc_ids are kept; texts shorter
+than ``order`` words have only the n-grams that fit; an empty table gives an empty result; columns
+other than doc_id and text are ignored.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brinedeck.llm.common import ship, words
+from brinedeck.llm.common import WORD, ship, words
 from brinedeck.llm.token_ids import WordTokenizer
 
 ship(__name__)
@@ -64,29 +65,8 @@ def grams(keys: np.ndarray, first: np.ndarray, order: int) -> list[tuple[np.ndar
     return out
 
 
-def _pack_keys(keys: np.ndarray) -> bytes:
-    """Rising keys as differences, bytes of one weight together, so that the exchange's compression drops the empty ones."""
-    steps = np.diff(keys, prepend=np.uint64(0)).astype("<u8")
-    return np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T).tobytes()
-
-
-def _unpack_keys(packed: bytes) -> np.ndarray:
-    planes = np.frombuffer(packed, np.uint8).reshape(8, -1)
-    return np.cumsum(np.ascontiguousarray(planes.T).view("<u8").ravel(), dtype=np.uint64)
-
-
-def _pack(numbers: np.ndarray) -> bytes:
-    top = int(numbers.max(initial=0))
-    kind = "B" if top < 1 << 8 else "H" if top < 1 << 16 else "Q"
-    return kind.encode() + numbers.astype(f"<u{ {'B': 1, 'H': 2, 'Q': 8}[kind] }").tobytes()
-
-
-def _unpack(packed: bytes) -> np.ndarray:
-    return np.frombuffer(packed, f"<u{ {'B': 1, 'H': 2, 'Q': 8}[chr(packed[0])] }", offset=1).astype(np.int64)
-
-
-def score_texts(texts: list[str | None], answers: list[np.ndarray], corpus_words: int, order: int, penalty: float) -> tuple[np.ndarray, np.ndarray]:
-    """Words and log10 score of each text; ``answers`` are the corpus counts of the block's distinct n-grams by order."""
+def score_texts(texts: list[str | None], told: np.ndarray, totals: np.ndarray, corpus_words: int, order: int, penalty: float) -> tuple[np.ndarray, np.ndarray]:
+    """Words and log10 score of each text of a block; ``totals`` are the corpus counts of the rising keys ``told``, others occur in this block only."""
     keys, first = word_keys(texts)
     sizes = np.diff(first)
     doc = np.repeat(np.arange(len(texts)), sizes)
@@ -94,10 +74,12 @@ def score_texts(texts: list[str | None], answers: list[np.ndarray], corpus_words
     others = np.maximum(corpus_words - sizes, 1)[doc]
     counts = [others]
     found = grams(keys, first, order)
-    for (gram, inside), answer in zip(found, answers, strict=True):
-        distinct, which = np.unique(gram[inside], return_inverse=True)
-        if len(distinct) != len(answer):
-            raise ValueError("the answer is not that of this block")
+    for gram, inside in found:
+        distinct, which, answer = np.unique(gram[inside], return_inverse=True, return_counts=True)
+        place_of = np.searchsorted(told, distinct)
+        elsewhere = place_of < len(told)
+        elsewhere[elsewhere] = told[place_of[elsewhere]] == distinct[elsewhere]
+        answer[elsewhere] = totals[place_of[elsewhere]]
         _, pair, own = np.unique(doc[inside] * max(len(distinct), 1) + which, return_inverse=True, return_counts=True)
         count = np.zeros(len(keys), np.int64)
         count[inside] = answer[which] - own[pair]
@@ -115,42 +97,31 @@ def score_texts(texts: list[str | None], answers: list[np.ndarray], corpus_words
     return sizes, np.bincount(doc, score, len(texts))
 
 
-def backoff_scores(docs: DataFrame, order: int = 3, penalty: float = 0.4, block_bytes: int = 8 << 20, bucket_keys: int = 2_000_000) -> DataFrame:
+def backoff_scores(docs: DataFrame, order: int = 3, penalty: float = 0.4, block_bytes: int = 8 << 20, partition_keys: int = 2_000_000) -> DataFrame:
     """doc_id, n_words, log10_sum and log10_mean (null without words) of every document."""
     text = F.col("text").cast("string")
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
     n_bytes, n_words = slim.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.coalesce(F.sum(F.size(words(F.col("text"))).cast("long")), F.lit(0))).first()
     blocks = max(1, -(-n_bytes // block_bytes))
-    shift = max(0, math.ceil(math.log2(max(1, n_words * order / bucket_keys))))  # 2**shift key ranges for each order
-    block = F.pmod(F.xxhash64("doc_id", F.monotonically_increasing_id()), F.lit(blocks))
-    dealt = slim.withColumn("block", block)
+    parts = max(1, -(-n_words * order // partition_keys))
+    # documents without words take part in no count, so any block does: they are spread, as many may be alike
+    own = F.when(F.col("text").rlike(WORD), F.xxhash64("doc_id", "text")).otherwise(F.xxhash64(F.monotonically_increasing_id()))
+    dealt = slim.withColumn("block", F.pmod(own, F.lit(blocks)))
 
-    def ask(rows: pd.DataFrame) -> pd.DataFrame:
+    def explode(rows: pd.DataFrame) -> pd.DataFrame:
         keys, first = word_keys(rows["text"].to_list())
-        out = []
-        for k, (gram, inside) in enumerate(grams(keys, first, order), 1):
-            distinct, count = np.unique(gram[inside], return_counts=True)
-            bucket = (distinct >> np.uint64(64 - shift)).astype(np.int64) if shift else np.zeros(len(distinct), np.int64)
-            cut = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(distinct))
-            for a, b in zip(cut[:-1], cut[1:], strict=True):
-                out.append((int(rows["block"].iloc[0]), k, int(bucket[a]), _pack_keys(distinct[a:b]), _pack(count[a:b])))
-        return pd.DataFrame(out, columns=["block", "order", "bucket", "keys", "counts"])
-
-    def answer(rows: pd.DataFrame) -> pd.DataFrame:
-        keys = [_unpack_keys(k) for k in rows["keys"]]
-        distinct, which = np.unique(np.concatenate(keys), return_inverse=True)
-        total = np.zeros(len(distinct), np.int64)
-        np.add.at(total, which, np.concatenate([_unpack(c) for c in rows["counts"]]))
-        parts = np.split(total[which], np.cumsum([len(k) for k in keys])[:-1])
-        return pd.DataFrame({"block": rows["block"], "order": rows["order"], "bucket": rows["bucket"], "answer": [_pack(p) for p in parts]})
+        every = [np.unique(gram[inside], return_counts=True) for gram, inside in grams(keys, first, order)]
+        gram, n = (np.concatenate(x) for x in zip(*every, strict=True))
+        return pd.DataFrame({"block": np.full(len(gram), rows["block"].iloc[0], np.int64), "gram": gram.view(np.int64), "n": n})
 
     def score(rows: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
-        told = told.sort_values(["order", "bucket"])
-        answers = [np.concatenate([np.zeros(0, np.int64), *(_unpack(a) for a in told["answer"][told["order"] == k])]) for k in range(1, order + 1)]
-        sizes, sums = score_texts(rows["text"].to_list(), answers, n_words, order, penalty)
+        keys, totals = told["gram"].to_numpy(np.int64).view(np.uint64), told["total"].to_numpy(np.int64)
+        rising = np.argsort(keys)
+        sizes, sums = score_texts(rows["text"].to_list(), keys[rising], totals[rising], n_words, order, penalty)
         return pd.DataFrame({"doc_id": rows["doc_id"].astype("Int64"), "n_words": sizes, "log10_sum": sums})
 
-    asked = dealt.groupBy("block").applyInPandas(ask, "block long, order int, bucket long, keys binary, counts binary")
-    answered = asked.groupBy("order", "bucket").applyInPandas(answer, "block long, order int, bucket long, answer binary")
-    scored = dealt.groupBy("block").cogroup(answered.groupBy("block")).applyInPandas(score, "doc_id long, n_words long, log10_sum double")
+    exploded = dealt.groupBy("block").applyInPandas(explode, "block long, gram long, n long").repartition(parts, "gram")
+    counts = exploded.groupBy("gram").agg(F.sum("n").alias("total"))
+    told = exploded.join(counts, "gram").filter(F.col("total") > F.col("n")).select("block", "gram", "total")
+    scored = dealt.groupBy("block").cogroup(told.groupBy("block")).applyInPandas(score, "doc_id long, n_words long, log10_sum double")
     return scored.withColumn("log10_mean", F.try_divide(F.col("log10_sum"), F.col("n_words")))

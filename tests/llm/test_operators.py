@@ -419,7 +419,7 @@ def brute_backoff(texts, order, penalty):
 @pytest.mark.parametrize("order", [1, 2, 3])
 def test_backoff_equals_brute_force(spark, docs, texts, empty, order):
     want = brute_backoff(texts, order, 0.4)
-    for sizes in ({}, {"block_bytes": 2000, "bucket_keys": 50}):
+    for sizes in ({}, {"block_bytes": 2000, "partition_keys": 50}):
         got = {r["doc_id"]: r for r in backoff.backoff_scores(docs, order=order, **sizes).collect()}
         for k, (n, score) in enumerate(want):
             assert got[k]["n_words"] == n and got[k]["log10_sum"] == pytest.approx(score, abs=1e-6)
