@@ -10,8 +10,8 @@ rare text would vouch for itself. A document's score is the sum of log10 S over
 1. Documents are dealt to blocks by a hash of their own values; a block's n-grams are exploded into
    rows (block, gram, n), one for each distinct n-gram, whose key is a 64-bit hash.
 2. The rows are partitioned by hash of the key. The count table adds up a key's rows, and an
-   equi-join on the key, in the same partitioning, tells each block the count of its n-grams.
-   Rows whose n-gram no other block holds are not sent back: the block knows their count.
+   equi-join on the key, in the same partitioning, tells each block how often others have its
+   n-grams. Rows whose n-gram no other block holds are not sent back.
 3. Answers meet the block's documents, whose n-grams are scored and summed per document.
 
 A block sends each n-gram once, however often it occurs, so a frequent n-gram has at most one row
@@ -65,8 +65,8 @@ def grams(keys: np.ndarray, first: np.ndarray, order: int) -> list[tuple[np.ndar
     return out
 
 
-def score_texts(texts: list[str | None], told: np.ndarray, totals: np.ndarray, corpus_words: int, order: int, penalty: float) -> tuple[np.ndarray, np.ndarray]:
-    """Words and log10 score of each text of a block; ``totals`` are the corpus counts of the rising keys ``told``, others occur in this block only."""
+def score_texts(texts: list[str | None], told: np.ndarray, elsewhere: np.ndarray, corpus_words: int, order: int, penalty: float) -> tuple[np.ndarray, np.ndarray]:
+    """Words and log10 score of each text of a block; ``elsewhere`` are the counts in all other blocks of the rising keys ``told``; other n-grams have none there."""
     keys, first = word_keys(texts)
     sizes = np.diff(first)
     doc = np.repeat(np.arange(len(texts)), sizes)
@@ -77,9 +77,9 @@ def score_texts(texts: list[str | None], told: np.ndarray, totals: np.ndarray, c
     for gram, inside in found:
         distinct, which, answer = np.unique(gram[inside], return_inverse=True, return_counts=True)
         place_of = np.searchsorted(told, distinct)
-        elsewhere = place_of < len(told)
-        elsewhere[elsewhere] = told[place_of[elsewhere]] == distinct[elsewhere]
-        answer[elsewhere] = totals[place_of[elsewhere]]
+        known = place_of < len(told)
+        known[known] = told[place_of[known]] == distinct[known]
+        answer[known] += elsewhere[place_of[known]]
         _, pair, own = np.unique(doc[inside] * max(len(distinct), 1) + which, return_inverse=True, return_counts=True)
         count = np.zeros(len(keys), np.int64)
         count[inside] = answer[which] - own[pair]
@@ -115,13 +115,14 @@ def backoff_scores(docs: DataFrame, order: int = 3, penalty: float = 0.4, block_
         return pd.DataFrame({"block": np.full(len(gram), rows["block"].iloc[0], np.int64), "gram": gram.view(np.int64), "n": n})
 
     def score(rows: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
-        keys, totals = told["gram"].to_numpy(np.int64).view(np.uint64), told["total"].to_numpy(np.int64)
+        keys, others = told["gram"].to_numpy(np.int64).view(np.uint64), told["others"].to_numpy(np.int64)
         rising = np.argsort(keys)
-        sizes, sums = score_texts(rows["text"].to_list(), keys[rising], totals[rising], n_words, order, penalty)
+        sizes, sums = score_texts(rows["text"].to_list(), keys[rising], others[rising], n_words, order, penalty)
         return pd.DataFrame({"doc_id": rows["doc_id"].astype("Int64"), "n_words": sizes, "log10_sum": sums})
 
     exploded = dealt.groupBy("block").applyInPandas(explode, "block long, gram long, n long").repartition(parts, "gram")
-    counts = exploded.groupBy("gram").agg(F.sum("n").alias("total"))
-    told = exploded.join(counts, "gram").filter(F.col("total") > F.col("n")).select("block", "gram", "total")
+    # either side uses all three columns, so that both sides of the join read one and the same exchange
+    counts = exploded.groupBy("gram").agg(F.sum("n").alias("total"), F.count("block").alias("blocks"))
+    told = exploded.join(counts.filter("blocks > 1"), "gram").select("block", "gram", (F.col("total") - F.col("n")).alias("others"))
     scored = dealt.groupBy("block").cogroup(told.groupBy("block")).applyInPandas(score, "doc_id long, n_words long, log10_sum double")
     return scored.withColumn("log10_mean", F.try_divide(F.col("log10_sum"), F.col("n_words")))
