@@ -137,16 +137,28 @@ def _vertices(spark, d):
 
 def region_join(spark, d):
     edges = geo.polygon_edges(_vertices(spark, d), ["region"])
-    return geo.region_join(roles.points(spark, d), edges, x="x", y="y", region=["region"], band=0.5).select("pid", "region")
+    return geo.region_join(roles.points(spark, d), edges, x="x", y="y", region=["region"], tile=0.5).select("pid", "region")
 
 
 def region_bbox_fallback(spark, d):
     edges = geo.polygon_edges(_vertices(spark, d), ["region"])
-    tagged = geo.region_join(roles.points(spark, d), edges, x="x", y="y", region=["region"], band=0.5)
+    tagged = geo.region_join(roles.points(spark, d), edges, x="x", y="y", region=["region"], tile=0.5)
     boxes = geo.region_boxes(edges, "region", ["NATION_7", "NATION_1", "NATION_12", "NATION_24"])
     return geo.region_bbox_fallback(tagged, x="x", y="y", region="region", boxes=boxes).select("pid", "region")
 
 
+def region_on_edge(spark, d):
+    """Points on the edges and corners of the customers' nations, holes too, and a millionth above them."""
+    vertices = _vertices(spark, d).withColumns({"x": r("x"), "y": r("y")})
+    edges = geo.polygon_edges(vertices, ["region"])
+    along = F.col("c_custkey") % 5 / 4.0
+    above = F.when(F.col("c_custkey") % 3 == 0, 0.000001).otherwise(0.0)
+    points = table(spark, d, "customer").join(table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).join(
+        edges.withColumnRenamed("region", "n_name"), "n_name",
+    ).select(F.col("c_custkey").alias("pid"), r(F.col("x1") + along * (F.col("x2") - F.col("x1"))).alias("x"), r(F.col("y1") + along * (F.col("y2") - F.col("y1")) + above).alias("y"))
+    return geo.region_join(points, edges, x="x", y="y", region=["region"], tile=0.5)
+
+
 def region_attributes(spark, d):
     edges = geo.polygon_edges(_vertices(spark, d), ["region"])
     return edges.groupBy("region").agg(
@@ -241,7 +253,7 @@ def monthly_spine(spark, d):
 
 QUERIES = {f.__name__: f for f in (
     match_grid_nearest, match_grid_window_mean, match_irregular_axis, match_altimetry, bilinear_match, regrid_linear, bracket_match,
-    window_first_match, match_climatology, weekly_slice, composite_match, region_join, region_bbox_fallback, region_attributes,
+    window_first_match, match_climatology, weekly_slice, composite_match, region_join, region_bbox_fallback, region_on_edge, region_attributes,
     depth_bin_series, doy_climatology, mooring_catalog, mooring_summary, mooring_series, melt_grid, melt_columns, grid_bbox, box_series,
     block_mean, cell_trend, regrid_bins, monthly_spine,
 )}
@@ -323,6 +335,18 @@ SQL = {
     "region_bbox_fallback": f"""with {_EDGES}, bx as (select region, min(x) as a, max(x) as b, min(y) as c, max(y) as e from verts group by region),
       o as (select *, case region when 'NATION_7' then 1 when 'NATION_1' then 2 when 'NATION_12' then 3 else 4 end as ord from bx where region in ('NATION_7', 'NATION_1', 'NATION_12', 'NATION_24'))
       select pid, coalesce(t.region, (select arg_min(o.region, ord) from o where t.x between a and b and t.y between c and e)) as region from tagged t""",
+    "region_on_edge": f"""with verts as (select n_name as region, n_nationkey, ring, seq, cast(dx + n_nationkey % 5 * 1.5 as decimal(12,6)) as x, cast(dy + n_nationkey // 5 * 1.5 as decimal(12,6)) as y
+        from nation join (values {_CORNER_ROWS}) t(shape, ring, seq, dx, dy) on shape = n_nationkey % 3),
+      edges as (select region, n_nationkey, x as x1, y as y1, coalesce(lead(x) over w, first(x) over w) as x2, coalesce(lead(y) over w, first(y) over w) as y2
+        from verts window w as (partition by region, ring order by seq)),
+      pts as (select row_number() over (order by c_custkey, x1, y1, x2, y2) as n, c_custkey as pid, cast(x1 + cast(c_custkey % 5 * 0.25 as decimal(4,2)) * (x2 - x1) as decimal(12,6)) as x,
+        cast(y1 + cast(c_custkey % 5 * 0.25 as decimal(4,2)) * (y2 - y1) + case when c_custkey % 3 = 0 then 0.000001 else 0 end as decimal(12,6)) as y
+        from customer join edges on c_nationkey = n_nationkey),
+      near as (select n, region, (x2 - x1) * (y - y1) - (y2 - y1) * (x - x1) as side, x between least(x1, x2) and greatest(x1, x2) and y between least(y1, y2) and greatest(y1, y2) as boxed,
+        (y1 > y) <> (y2 > y) as spans, y2 > y1 as up from pts, edges where y between least(y1, y2) and greatest(y1, y2)),
+      hits as (select n, region from near group by n, region having bool_or(side = 0 and boxed) or count(*) filter (spans and (side > 0) = up and side <> 0) % 2 = 1),
+      firsts as (select n, min(region) as region from hits group by n)
+      select pid, cast(x as double) as x, cast(y as double) as y, region from pts left join firsts using (n)""",
     "region_attributes": f"with {_EDGES} select region, count(*) as n_edges, round(min(x1), 6) as minx, round(max(x1), 6) as maxx, round(min(y1), 6) as miny, round(max(y1), 6) as maxy from edges group by 1",
     "depth_bin_series": f"""select site, {_BIN} as "DepthBin", time, round(avg(temp), 6) as temp from {_MOORED} where {_BIN} is not null group by 1, 2, 3""",
     "doy_climatology": f"""select site, {_BIN} as "DepthBin", dayofyear(time) as "DOY", round(avg(temp), 6) as temp from {_MOORED} where {_BIN} is not null group by 1, 2, 3""",
