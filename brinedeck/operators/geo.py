@@ -32,13 +32,11 @@ def _side(e: Column, qx: Column, qy: Column) -> Column:
 
     Where doubles cannot tell, the coordinates are compared as decimals of 12 places, as they are written.
     """
-    dx, dy, px, py = e["x2"] - e["x1"], e["y2"] - e["y1"], qx - e["x1"], qy - e["y1"]
-    size = F.greatest(*[F.abs(v) for v in (e["x1"], e["y1"], e["x2"], e["y2"], qx, qy)])
-    doubtful = size * (F.abs(dx) + F.abs(dy) + F.abs(px) + F.abs(py)) * 1e-14
-    det = dx * py - dy * px
+    a, b = (e["x2"] - e["x1"]) * (qy - e["y1"]), (e["y2"] - e["y1"]) * (qx - e["x1"])
     x1, y1, x2, y2, x, y = (v.try_cast("decimal(17,12)") for v in (e["x1"], e["y1"], e["x2"], e["y2"], qx, qy))
     exact = F.signum((x2 - x1) * (y - y1) - (y2 - y1) * (x - x1))
-    return F.when(F.abs(det) <= doubtful, F.coalesce(exact, F.signum(det))).otherwise(F.signum(det))
+    doubtful = F.abs(a - b) <= (F.abs(a) + F.abs(b)) * 1e-5
+    return F.coalesce(F.when(doubtful, exact), F.signum(a - b))
 
 
 def _right_of(e: Column, qx: Column, qy: Column) -> Column:
@@ -82,7 +80,7 @@ def _rows(e: Column, h: Column) -> tuple[Column, Column]:
     return F.floor(F.least(e["y1"], e["y2"]) / h), F.floor(F.greatest(e["y1"], e["y2"]) / h)
 
 
-def region_tiles(edges: DataFrame, region: Sequence[str], tile: float = 1.0, leaf: int = 4, depth: int = 8) -> tuple[DataFrame, DataFrame]:
+def region_tiles(edges: DataFrame, region: Sequence[str], tile: float = 1.0, leaf: int = 16, depth: int = 8) -> tuple[DataFrame, DataFrame]:
     """A covering of the plane by tiles: those wholly inside a region, and those that hold edges.
 
     The first table has one row per tile of size ``tile`` (``_ti``, ``_tj``): the regions that hold all
@@ -114,15 +112,17 @@ def region_tiles(edges: DataFrame, region: Sequence[str], tile: float = 1.0, lea
     between = crossed.select("r", "j", right.alias("to")).select("r", "j", "to", F.row_number().over(ordered).alias("n"), F.lead("to").over(ordered).alias("next"))
     odd = between.filter("n % 2 = 1 and next > to").select("r", "j", F.explode(F.sequence(F.col("to") + 1, F.col("next"))).alias("i"))
 
-    halvings = F.least(F.lit(depth), F.greatest(F.lit(0), F.ceil(F.log2(F.col("n") / leaf) / 2))).cast("int")
-    sizes = pieces.groupBy("i", "j").agg(F.count(F.lit(1)).alias("n")).select("i", "j", halvings.alias("k"))
-    whole = odd.join(pieces.select("r", "i", "j").distinct(), ["r", "i", "j"], "left_anti").groupBy("i", "j").agg(F.collect_set("r").alias("_inside"))
-    tiles = sizes.join(whole, ["i", "j"], "full_outer").select(
-        F.col("i").alias("_ti"), F.col("j").alias("_tj"), F.coalesce("k", F.lit(0)).alias("_k"), "_inside",
+    corners = odd.select("r", "i", "j", F.lit(None).cast(pieces.schema["e"].dataType).alias("e"), F.lit(1).alias("p"))
+    here, own = W.partitionBy("i", "j"), W.partitionBy("i", "j", "r")
+    halvings = F.least(F.lit(depth), F.greatest(F.lit(0), F.ceil(F.log2(F.count("e").over(here) / leaf) / 2))).cast("int")
+    known = pieces.withColumn("p", F.lit(0)).unionByName(corners).select(
+        "r", "i", "j", "e", F.coalesce(halvings, F.lit(0)).alias("k"), F.max("p").over(own).alias("p"), F.count("e").over(own).alias("n"),
     )
-
-    state = pieces.join(sizes, ["i", "j"]).join(odd.withColumn("p", F.lit(1)), ["r", "i", "j"], "left").select("r", "k", "i", "j", "e", F.coalesce("p", F.lit(0)).alias("p"))
-    deepest = sizes.agg(F.max("k")).first()[0] or 0  # one number, at most ``depth``
+    tiles = known.groupBy(F.col("i").alias("_ti"), F.col("j").alias("_tj")).agg(
+        F.max("k").alias("_k"), F.collect_list(F.when(F.col("n") == 0, F.col("r"))).alias("_inside"),
+    )
+    state = known.filter("e is not null").select("r", "k", "i", "j", "e", "p")
+    deepest = tiles.agg(F.max("_k")).first()[0] or 0  # one number, at most ``depth``
     for level in range(deepest):
         state = _halved(state, level, tile / 2**level)
     cells = state.groupBy("k", "i", "j").agg(F.collect_list(F.struct("r", "p", "e")).alias("_cell"))
@@ -148,7 +148,7 @@ def _halved(state: DataFrame, level: int, size: float) -> DataFrame:
     return rows.filter(F.col("t") | (~F.col("any") & (F.col("p") == 1) & (F.col("n") == 1))).select("r", "k", "i", "j", "e", "p")
 
 
-def region_join(points: DataFrame, edges: DataFrame, *, x: str, y: str, region: Sequence[str], tile: float = 1.0, leaf: int = 4, depth: int = 8) -> DataFrame:
+def region_join(points: DataFrame, edges: DataFrame, *, x: str, y: str, region: Sequence[str], tile: float = 1.0, leaf: int = 16, depth: int = 8) -> DataFrame:
     """Attributes of the region that holds each point, NULL outside all regions.
 
     All rings of a region count together, so holes are outside; a point exactly on an edge, of a
