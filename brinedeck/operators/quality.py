@@ -6,6 +6,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from brinedeck.fixed_values import BAD_FLAGS, GOOD_FLAGS, SURFACE_CAST_DEPTH_M
@@ -94,3 +95,27 @@ def sample_rows(df: DataFrame, n: int, key: Sequence[str], seed: int = 42) -> Da
     """``n`` rows in an order that looks random but depends only on the key and the seed."""
     draw = F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in key], F.lit(str(seed))))
     return df.orderBy(draw, *key).limit(n)
+
+
+def draw_rows(df: DataFrame, n: int, key: Sequence[str], seed: int = 42, digits: int = 4) -> DataFrame:
+    """``n`` draws with replacement: the row of each draw (from 0), so that rows may repeat.
+
+    Rows are ranked by a hash of their key, and each draw asks for a rank that depends on the seed only.
+    Hash prefixes of ``digits`` make 16 ** digits buckets whose sizes, added up, tell each draw
+    its bucket; only rows of buckets that are drawn are put in order. An empty table gives no row.
+    """
+    place = F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in key]))
+    rows = df.withColumn("_place", place).withColumn("_bucket", F.substr("_place", F.lit(1), F.lit(digits)))
+    sizes = rows.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    total = sizes.agg(F.sum("_n")).scalar()
+    width = F.greatest(F.lit(1), F.floor(total / 16**digits))
+    before = W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)  # one row per bucket
+    spans = sizes.select("_bucket", "_n", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")).withColumn(
+        "_block", F.explode(F.sequence(F.floor(F.col("_start") / width), F.floor((F.col("_start") + F.col("_n") - 1) / width)))
+    )
+    number = F.conv(F.substr(F.md5(F.concat_ws("|", F.col("id").cast("string"), F.lit(str(seed)))), F.lit(1), F.lit(15)), 16, 10).cast("long")
+    draws = df.sparkSession.range(n).select(F.col("id").alias("draw"), (number % total).alias("_rank")).withColumn("_block", F.floor(F.col("_rank") / width))
+    asked = draws.join(spans, "_block").filter("_rank >= _start and _rank < _start + _n").select("draw", "_bucket", (F.col("_rank") - F.col("_start") + 1).alias("_at"))
+    ordered = W.partitionBy("_bucket").orderBy("_place", *key)
+    numbered = rows.join(asked.select("_bucket").distinct(), "_bucket", "left_semi").withColumn("_at", F.row_number().over(ordered))
+    return numbered.join(asked, ["_bucket", "_at"]).select("draw", *df.columns)

@@ -190,6 +190,11 @@ def sample_rows(spark, d):
     return op.sample_rows(table(spark, d, "orders").select("o_orderkey", "o_totalprice"), 20, ["o_orderkey"], 42)
 
 
+def draw_rows(spark, d):
+    """A thousand draws with replacement from all orders."""
+    return op.draw_rows(table(spark, d, "orders").select("o_orderkey", "o_totalprice"), 1000, ["o_orderkey"], 42)
+
+
 def describe(spark, d):
     line = table(spark, d, "lineitem").select(
         F.col("l_quantity").alias("quantity"), F.when(F.col("l_linenumber") > 1, F.col("l_extendedprice")).alias("price"), F.col("l_tax").alias("tax"),
@@ -202,7 +207,7 @@ QUERIES = {f.__name__: f for f in (
     qc_mask_replicate_mean, qc_keep_mean, duplicate_report, duplicate_max, sample_universe, ctd_by_depth, ctd_surface, nutrient_mean,
     surface_pigment, nullsafe_water_quality_join, range_null, map_code, column_fallback, sample_code, paste_null, station_codes,
     identified_species_filter, complete_cases, bbox_filter, distinct_by_key, date_parts, numeric_time_axes, period_keys, local_to_utc,
-    utc_to_local, log10_squished, kelvin, sample_rows,
+    utc_to_local, log10_squished, kelvin, sample_rows, draw_rows,
 )}
 QUERIES["describe_measures"] = describe
 
@@ -273,6 +278,9 @@ SQL = {
     "log10_squished": """select l_suppkey, round(sum(case when l_tax * 10 - 0.2 > 0 then greatest(least(log10(l_tax * 10 - 0.2), 1), -1.5) end), 5) as total,
         count(case when l_tax * 10 - 0.2 > 0 then 1 end) as n from lineitem group by 1""",
     "kelvin": "select event_id, round(value - 273.15, 6) as celsius from events",
+    "draw_rows": """with ranked as (select o_orderkey, o_totalprice, row_number() over (order by md5(cast(o_orderkey as varchar)), o_orderkey) - 1 as rank, count(*) over () as total from orders),
+      draws as (select i as draw, cast('0x' || substr(md5(i || '|42'), 1, 15) as bigint) as number from range(1000) t(i))
+      select draw, o_orderkey, o_totalprice from draws join ranked on rank = number % total""",
     "sample_rows": "select o_orderkey, o_totalprice from orders order by md5(o_orderkey || '|42'), o_orderkey limit 20",
     "describe_measures": " union all ".join(
         _DESCRIBE.format(name=n, c=c) for n, c in (("quantity", "l_quantity"), ("price", "price_known"), ("tax", "l_tax"))

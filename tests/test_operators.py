@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from brinedeck.functions.axes import RegularAxis
-from brinedeck.operators import community, geo, grid, gridmatch, indices, matching, mooring, profile, summary
+from brinedeck.operators import community, geo, grid, gridmatch, indices, matching, mooring, profile, quality, summary
 from brinedeck.operators.shuffle import left_join_nullsafe, ranked_in_buckets
 from tests.conftest import rows
 
@@ -276,3 +276,14 @@ def test_factor_with_an_effect_is_told_from_one_without(spark):
     assert strong["hits"] == 0 and strong["p_value"] == pytest.approx(1 / 200) and strong["r2"] > 0.7
     assert weak["p_value"] > 0.02 and weak["r2"] < 0.05
     assert strong["r2"] == pytest.approx(community.factor_fit(df, axes=("u", "v"), factor="f").first()["r2"])
+
+
+def test_draws_repeat_and_follow_the_seed(spark):
+    few = spark.range(7).withColumn("v", F.col("id") * 10)
+    got = quality.draw_rows(few, 500, ["id"], digits=1)
+    first = rows(got)
+    assert [r[0] for r in first] == list(range(500)) and {r[1] for r in first} == set(range(7))
+    assert all(v == 10 * k for _, k, v in first)
+    assert first == rows(quality.draw_rows(few.repartition(5), 500, ["id"], digits=3))
+    assert first != rows(quality.draw_rows(few, 500, ["id"], seed=1))
+    assert quality.draw_rows(few.limit(0), 5, ["id"]).count() == 0
