@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from brinedeck.fixed_values import NOT_LOOKED_FOR
@@ -44,17 +45,6 @@ def first_start(affected: DataFrame, key: str, name: str, start: str) -> DataFra
     return affected.groupBy(name).agg(F.min_by(start, F.struct(key, start)).alias("_default_start"))
 
 
-def densify_lists(names: DataFrame, name: str, parts: int = 1) -> list[DataFrame]:
-    """The names of the change log with their default start, as one-row tables holding a list.
-
-    Used as scalar subqueries, so that every sample can be written out against
-    the list without a join.  A long log can be cut by hash into more ``parts``.
-    """
-    entry = F.struct(F.col(name), F.col("_default_start").cast("timestamp_ntz").alias("_start"), F.lit(True).alias("_logged"))
-    listed = F.sort_array(F.collect_list(entry)).alias("names")
-    return [names.filter(F.pmod(F.xxhash64(name), F.lit(parts)) == i).agg(listed) for i in range(parts)]
-
-
 def apply_change_log(
     samples: DataFrame,
     obs: DataFrame,
@@ -72,7 +62,6 @@ def apply_change_log(
     plain_where: Column | None = None,
     affected_where: Column | None = None,
     plain_name: Column | None = None,
-    name_parts: int = 1,
 ) -> DataFrame:
     """Totals per sample and name under the presence rule of the change log.
 
@@ -86,6 +75,30 @@ def apply_change_log(
     after summing.  ``dims`` names the columns that identify a sample in the
     result where that is not its key.
     """
+    cells, names = _cells(
+        samples, obs, log, level=level, key=key, date=date, name=name, value=value, placeholder=placeholder, taxon=taxon, start=start,
+        plain_where=plain_where, affected_where=affected_where, plain_name=plain_name,
+    )
+    parts = _grid(samples, cells, names, key=key, date=date, name=name)
+    if dims is None:
+        return parts.select(*samples.columns, name, _larger("_logged", "_known", "_plain").alias(value))
+    summed = parts.groupBy(*dims, name).agg(
+        F.sum("_plain").alias("_plain"), sum_strict(F.col("_known")).alias("_known"), F.max("_logged").alias("_logged"),
+    )
+    return summed.select(*dims, name, _larger("_logged", "_known", "_plain").alias(value))
+
+
+def _cells(
+    samples: DataFrame, obs: DataFrame, log: DataFrame, *,
+    level: str, key: str, date: str, name: str, value: str, placeholder: str, taxon: str, start: str,
+    plain_where: Column | None, affected_where: Column | None, plain_name: Column | None,
+) -> tuple[DataFrame, DataFrame]:
+    """What was found: the sample's columns, name, plain and found; and the logged names with their default start.
+
+    ``plain`` is the total of the unlogged taxa of a name, ``found`` that of the logged ones by the rule
+    for records.  A sample without any plain name has the placeholder as one, with 0.  All but the
+    totals stays in the partitioning by sample.
+    """
     logged = changed_in_log(log, level, taxon).select(taxon, F.lit(True).alias("_logged")).distinct()
     rows = obs.join(logged.join(log.select(taxon, start), taxon), taxon, "left").withColumn(
         "_logged", F.coalesce("_logged", F.lit(False))
@@ -99,62 +112,149 @@ def apply_change_log(
     totals = rows.groupBy(key, name, "_logged", start).agg(sum_or_zero(F.col(value)).alias(value))
 
     recorded = F.when(F.col(start) > F.col(date), F.lit(NOT_LOOKED_FOR)).otherwise(F.col(value))
-    cells = totals.join(samples.select(key, date), key).groupBy(key, name).agg(
-        F.sum(F.when(~F.col("_logged"), F.col(value))).alias("plain"),
-        F.sum(F.when(F.col("_logged"), recorded)).alias("found"),
+    unlogged = ~F.col("_logged")
+    own = F.struct(F.col(name), F.when(unlogged, F.col(value)).alias("plain"), F.when(F.col("_logged"), recorded).alias("found"))
+    stand_in = F.struct(F.lit(placeholder).alias(name), F.lit(0.0).alias("plain"), F.lit(None).cast("double").alias("found"))
+    any_plain = F.coalesce(F.max(unlogged).over(W.partitionBy(key)), F.lit(False))
+    dated = samples.join(totals, key, "left").withColumn("_any_plain", any_plain)
+    rows_of = F.when(F.col("_any_plain"), F.array(own)).when(F.col("_logged"), F.array(own, stand_in)).otherwise(F.array(stand_in))
+    cells = dated.select(*samples.columns, F.inline(rows_of)).groupBy(*samples.columns, name).agg(F.sum("plain").alias("plain"), F.sum("found").alias("found"))
+    names = first_start(totals.filter("_logged"), key, name, start).withColumns({
+        "_default_start": F.col("_default_start").cast("timestamp_ntz"), "_logged": F.lit(True),
+    })
+    return cells, names
+
+
+def _tiled(rows: DataFrame, small: DataFrame, spread: Sequence[str]) -> DataFrame:
+    """Every row of ``rows`` with every row of ``small``, where that is the result asked for.
+
+    ``rows`` are dealt to tiles by a hash of ``spread`` and each tile meets its own copy of ``small``, by
+    an equi-join: a task holds the pairs of its tile only, and neither table is gathered in one row.
+    """
+    tiles = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    copies = small.withColumn("_tile", F.explode(F.sequence(F.lit(0), F.lit(tiles - 1))))
+    return rows.withColumn("_tile", F.pmod(F.xxhash64(*spread), F.lit(tiles)).cast("int")).join(copies, "_tile").drop("_tile")
+
+
+def _absent(start: Column, date: Column) -> Column:
+    """Value of a logged name without a record: unknown on the very start date."""
+    return F.when(start > date, F.lit(NOT_LOOKED_FOR)).when(start < date, F.lit(0.0))
+
+
+def _grid(samples: DataFrame, cells: DataFrame, names: DataFrame, *, key: str, date: str, name: str) -> DataFrame:
+    """Every sample with every logged name, and with the other names found in it, in two parts ``_plain`` and ``_known``.
+
+    The names found in a sample, at most a taxonomy, are packed into one map
+    per sample, so only records and samples are shuffled.  The grid of samples
+    and logged names, by far the largest table here, is written out row by row
+    from the packed samples and never moves.
+    """
+    entry = F.struct(F.col(name), F.struct("plain", "found"))
+    packed = cells.groupBy(*samples.columns).agg(F.map_from_entries(F.collect_list(F.when(F.col(name).isNotNull(), entry))).alias("_cells"))
+    dense = _tiled(packed, names, [key])
+    cell = F.try_element_at("_cells", F.col(name))
+    known = F.coalesce(cell["found"], _absent(F.col("_default_start"), F.col(date)))
+    columns = [*samples.columns, name, "_logged"]
+    logged = dense.select(*columns, cell["plain"].alias("_plain"), known.alias("_known"))
+    others = cells.filter("plain is not null").join(names.select(name), name, "left_anti").withColumn("_logged", F.lit(False))
+    return logged.unionByName(others.select(*columns, F.col("plain").alias("_plain"), F.lit(None).cast("double").alias("_known")))
+
+
+def presence_counts(
+    samples: DataFrame,
+    obs: DataFrame,
+    log: DataFrame,
+    *,
+    level: str,
+    key: str,
+    date: str,
+    name: str,
+    value: str,
+    placeholder: str,
+    by: Sequence[str],
+    taxon: str = "TaxonName",
+    start: str = "StartDate",
+    plain_where: Column | None = None,
+    affected_where: Column | None = None,
+    plain_name: Column | None = None,
+) -> DataFrame:
+    """Samples in which a name was not looked for, absent, unknown or found, per name and ``by``; total of those found.
+
+    What ``apply_change_log`` gives, counted by columns ``by`` of the samples, without its grid.  A
+    logged name splits the samples of a group at its start date: those before did not look for it,
+    those after have it absent, those on the date are unknown.  The three numbers are prefix counts
+    of the group's sample dates at the start date.  Then each record moves its sample from the number
+    it is in to that of its value.  Rows are dates, records, and groups by names: the result itself.
+
+    A sample without a date is unknown, as is every sample for a name without a start date.
+    """
+    by = list(by)
+    cells, names = _cells(
+        samples, obs, log, level=level, key=key, date=date, name=name, value=value, placeholder=placeholder, taxon=taxon, start=start,
+        plain_where=plain_where, affected_where=affected_where, plain_name=plain_name,
     )
-    names = first_start(totals.filter("_logged"), key, name, start)
-    if dims is None:
-        return _presence(samples, cells, names, key=key, date=date, name=name, value=value, placeholder=placeholder, name_parts=name_parts)
-    parts = _presence(
-        samples, cells, names, key=key, date=date, name=name, value=value, placeholder=placeholder, name_parts=name_parts, parts=True,
+    split = _split_at_starts(samples, names, date, by)
+    groups = split.select(*by).distinct()
+    expected = _tiled(groups, names.select(name, "_default_start"), by).alias("e").join(
+        split.alias("s"), _same([*by, "_default_start"], "e", "s"),
+    ).select(F.col(f"e.{name}").alias(name), *[F.col(f"e.{c}").alias(c) for c in by], "n_not_looked_for", "n_absent", "n_unknown")
+
+    v = F.col("_value")
+    was = _absent(F.col("_default_start"), F.col(date))
+    known = F.coalesce("found", was)
+    records = cells.join(names, name, "left").withColumn("_logged", F.coalesce("_logged", F.lit(False))).filter("_logged or plain is not null")
+    records = records.withColumns({"_known": known, "_was": was}).withColumn("_value", _larger("_logged", "_known", "plain"))
+
+    def moved(test: Callable[[Column], Column]) -> Column:
+        counts = [F.when(test(v), 1).otherwise(0), F.when(F.col("_logged") & test(F.col("_was")), 1).otherwise(0)]
+        return F.sum(counts[0] - counts[1])
+
+    moves = records.groupBy(name, *by).agg(
+        moved(lambda x: x == NOT_LOOKED_FOR).alias("n_not_looked_for"), moved(lambda x: x == 0).alias("n_absent"),
+        moved(lambda x: x.isNull()).alias("n_unknown"), F.count_if(v > 0).alias("n_found"), F.sum(F.when(v > 0, v)).alias("total"),
     )
-    summed = parts.groupBy(*dims, name).agg(
-        F.sum("_plain").alias("_plain"), sum_strict(F.col("_known")).alias("_known"), F.max("_logged").alias("_logged"),
+    both = expected.unionByName(moves, allowMissingColumns=True)
+    counts = ["n_not_looked_for", "n_absent", "n_unknown", "n_found"]
+    return both.groupBy(name, *by).agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counts], F.coalesce(F.sum("total"), F.lit(0.0)).alias("total"),
     )
-    return summed.select(*dims, name, _larger("_logged", "_known", "_plain").alias(value))
 
 
-def _presence(
-    samples: DataFrame, cells: DataFrame, names: DataFrame, *,
-    key: str, date: str, name: str, value: str, placeholder: str, name_parts: int, parts: bool = False,
-) -> DataFrame:
-    """Every sample with every logged name, and with the other names found in it.
+def _same(columns: Sequence[str], a: str, b: str) -> Column:
+    """Equality of columns of two aliased tables, NULL equal to NULL."""
+    out = F.lit(True)
+    for c in columns:
+        out = out & F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}"))
+    return out
 
-    The names found in a sample, at most a taxonomy, are packed into one map
-    per sample, so only records and samples are shuffled.  The grid of samples
-    and names, by far the largest table here, is written out row by row from
-    the packed samples and never moves.
+
+def _split_at_starts(samples: DataFrame, names: DataFrame, date: str, by: Sequence[str]) -> DataFrame:
+    """Per group and distinct start date: samples before it, after it, and the others.
+
+    Dates are counted before anything else, and running counts are taken over the days of a group
+    and over the times of a day, so no task orders all samples of a group.
     """
-    packed = cells.groupBy(key).agg(
-        F.map_from_entries(F.collect_list(F.struct(F.col(name), F.struct("plain", "found")))).alias("_cells"),
-        F.max(F.col("plain").isNotNull()).alias("_any_plain"),
+    dates = samples.groupBy(*by, F.col(date).cast("timestamp_ntz").alias("_t")).agg(F.count(F.lit(1)).alias("_n"), F.lit(False).alias("_asked"))
+    sizes = dates.groupBy(*by).agg(F.sum("_n").alias("_size"), F.sum(F.when(F.col("_t").isNotNull(), F.col("_n")).otherwise(0)).alias("_dated"))
+    asked = _tiled(sizes, names.select("_default_start").distinct(), by)
+    marks = asked.select(*by, F.col("_default_start").alias("_t"), F.lit(0).cast("long").alias("_n"), F.lit(True).alias("_asked"))
+    points = dates.unionByName(marks).filter(F.col("_t").isNotNull()).groupBy(*by, "_t").agg(F.sum("_n").alias("_n"), F.max("_asked").alias("_asked"))
+    points = points.withColumn("_day", F.to_date("_t"))
+    days = points.groupBy(*by, "_day").agg(F.sum("_n").alias("_d"))
+    earlier = W.partitionBy(*by).orderBy("_day").rowsBetween(W.unboundedPreceding, -1)
+    within = W.partitionBy(*by, "_day").orderBy("_t").rowsBetween(W.unboundedPreceding, -1)
+    days = days.withColumn("_base", F.coalesce(F.sum("_d").over(earlier), F.lit(0)))
+    inside = points.withColumn("_inside", F.coalesce(F.sum("_n").over(within), F.lit(0))).filter("_asked")
+    before = inside.alias("i").join(days.alias("d"), _same([*by, "_day"], "i", "d")).select(
+        *[F.col(f"i.{c}").alias(c) for c in by], F.col("_t").alias("_default_start"), "_n", (F.col("_base") + F.col("_inside")).alias("_before"),
     )
-    lists = {f"_names{i}": part for i, part in enumerate(densify_lists(names, name, name_parts))}
-    base = samples.join(packed, key, "left").withColumns({
-        "_cells": F.coalesce("_cells", F.expr("map()").cast("map<string,struct<plain:double,found:double>>")),
-        "_any_plain": F.coalesce("_any_plain", F.lit(False)),
-        **{c: part.scalar() for c, part in lists.items()},
-    })
-    def only_here(n: Column) -> Column:
-        listed = F.lit(False)
-        for c in lists:
-            listed = listed | F.array_contains(F.col(f"{c}.{name}"), n)
-        return ~listed
-
-    own = F.map_keys(F.map_filter("_cells", lambda n, cell: cell["plain"].isNotNull()))
-    own = F.when(F.col("_any_plain"), own).otherwise(F.array(F.lit(placeholder)))
-    unlogged = F.transform(
-        F.filter(own, only_here), lambda n: F.struct(n.alias(name), F.lit(None).cast("timestamp_ntz").alias("_start"), F.lit(False).alias("_logged"))
+    joined = asked.alias("a").join(before.alias("b"), _same([*by, "_default_start"], "a", "b"), "left")
+    n_before = F.coalesce("_before", F.lit(0))
+    n_after = F.coalesce(F.col("_dated") - F.col("_before") - F.col("_n"), F.lit(0))
+    return joined.select(
+        *[F.col(f"a.{c}").alias(c) for c in by], F.col("a._default_start").alias("_default_start"),
+        n_before.alias("n_not_looked_for"), n_after.alias("n_absent"), (F.col("_size") - n_before - n_after).alias("n_unknown"),
     )
-    dense = base.select("*", F.inline(F.concat(*lists, unlogged)))
-
-    cell = F.element_at("_cells", F.col(name))
-    plain = F.coalesce(cell["plain"], F.when((F.col(name) == placeholder) & ~F.col("_any_plain"), F.lit(0.0)))
-    absent = F.when(F.col("_start") > F.col(date), F.lit(NOT_LOOKED_FOR)).when(F.col("_start") < F.col(date), F.lit(0.0))
-    known = F.coalesce(cell["found"], absent)
-    both = dense.select(*samples.columns, name, "_logged", plain.alias("_plain"), F.when(F.col("_logged"), known).alias("_known"))
-    return both if parts else both.select(*samples.columns, name, _larger("_logged", "_known", "_plain").alias(value))
 
 
 def _larger(logged: str, known: str, plain: str) -> Column:

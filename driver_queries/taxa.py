@@ -59,26 +59,24 @@ def genus_biovolume_long(spark, d):
     return out.select("trip", "date", "name", F.round("value", 2).alias("value"))
 
 
-def species_long(spark, d):
-    obs = _obs(spark, d).withColumn("name", F.col("TaxonName"))
-    out = _presence(spark, d, obs, level="name", value="cells", placeholder="species", where=is_identified_species(F.col("species")))
-    return _by_year(out)
+def _counts(spark, d, obs, *, placeholder, where=None):
+    """Samples by state of each name and year, without a row per sample and name."""
+    samples = roles.samples(spark, d).withColumn("year", F.year("date").cast("bigint"))
+    return op.presence_counts(
+        samples, obs, _log(spark, d), level="name", key="trip", date="date", name="name", value="cells",
+        placeholder=PLACEHOLDER[placeholder], by=["year"], plain_where=where, affected_where=where,
+    )
 
 
-def _by_year(long):
-    """Not looked for, absent, unknown and found samples of each name and year."""
-    v = F.col("value")
-    return long.groupBy("name", F.year("date").cast("bigint").alias("year")).agg(
-        F.count_if(v == -999).alias("n_not_looked_for"), F.count_if(v == 0).alias("n_absent"),
-        F.count_if(v.isNull()).alias("n_unknown"), F.count_if(v > 0).alias("n_found"),
-        F.coalesce(F.sum(F.when(v > 0, v)), F.lit(0.0)).alias("total"),
-    )
+def species_long(spark, d):
+    obs = _obs(spark, d).withColumn("name", F.col("TaxonName"))
+    return _counts(spark, d, obs, placeholder="species", where=is_identified_species(F.col("species")))
 
 
 def _group_species(spark, d, where, placeholder):
     ok = is_identified_species(F.col("species"), allow_slash=False, allow_empty=False)
     obs = _obs(spark, d).filter(where & ok).withColumn("name", binomial(first_word(F.col("TaxonName")), F.col("species")))
-    return _by_year(_presence(spark, d, obs, level="name", value="cells", placeholder=placeholder))
+    return _counts(spark, d, obs, placeholder=placeholder)
 
 
 def copepod_long(spark, d):

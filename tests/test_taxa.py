@@ -3,6 +3,7 @@
 import datetime as dt
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from brinedeck.operators import taxa
@@ -73,7 +74,6 @@ def test_presence_rule_cases(spark):
     ]
     check(spark, samples, obs, log)   # t2 is on the start date without a record: unknown
     check(spark, samples, obs, log, placeholder="N")
-    check(spark, samples, obs, log, name_parts=3)
     check(spark, samples, [], log)
 
 
@@ -87,6 +87,47 @@ def test_presence_rule_random(spark):
     check(spark, samples, obs, log)
 
 
+def check_counts(spark, samples, obs, log, placeholder, by):
+    """The counts against those of the long table."""
+    s, o, g = frames(spark, samples, obs, log)
+    options = dict(level="name", key="trip", date="date", name="name", value="v", placeholder=placeholder)
+    got = rows(taxa.presence_counts(s, o, g, by=by, **options).select("name", *by, "n_not_looked_for", "n_absent", "n_unknown", "n_found", "total"))
+    v = F.col("v")
+    long = taxa.apply_change_log(s, o, g, **options).groupBy("name", *by).agg(
+        F.count_if(v == -999), F.count_if(v == 0), F.count_if(v.isNull()), F.count_if(v > 0), F.coalesce(F.sum(F.when(v > 0, v)), F.lit(0.0)),
+    )
+    assert got == rows(long)
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_counts_equal_those_of_the_long_table(spark, seed):
+    rng = random.Random(seed)
+    times = [None, *DAY, *[d + dt.timedelta(hours=h) for d in DAY[3:6] for h in (1, 7, 12)]]
+    samples = [(f"t{i}", rng.choice(["A", "B", None]), rng.choice(times)) for i in range(60)]
+    log = [(f"x{i}", rng.choice(times), f"x{rng.randrange(6)}") for i in range(6)]
+    obs = [(f"t{rng.randrange(64)}", f"x{rng.randrange(9)}", f"n{rng.randrange(5)}", rng.choice([None, 0.0, 1.0, 5.0])) for _ in range(90)]
+    check_counts(spark, samples, obs, log, "n0" if seed else "none", ["station"])
+    check_counts(spark, samples, obs, log, "none", ["station", "date"])
+
+
+def test_counts_of_empty_tables(spark):
+    log = [("new", DAY[4], "old")]
+    check_counts(spark, [("t1", "A", DAY[0])], [], log, "none", ["station"])
+    check_counts(spark, [], [("t1", "new", "N", 1.0)], log, "none", ["station"])
+
+
+def test_counts_make_no_grid(spark):
+    """No list of names, and no row of a sample but with a name found in it."""
+    samples = [(f"t{i}", "A", DAY[i % 10]) for i in range(200)]
+    log = [(f"x{i}", DAY[i % 10], "old") for i in range(40)]
+    s, o, g = frames(spark, samples, [(f"t{i}", f"x{i}", f"n{i}", 1.0) for i in range(40)], log)
+    out = taxa.presence_counts(s, o, g, level="name", key="trip", date="date", name="name", value="v", placeholder="none", by=["station"])
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan and "scalar-subquery" not in plan
+    found = {r["name"]: (r["n_not_looked_for"], r["n_absent"], r["n_unknown"], r["n_found"]) for r in out.collect()}
+    assert all(sum(n) == 200 for k, n in found.items() if k != "none") and found["none"] == (0, 200, 0, 0)
+
+
 def test_rows_of_a_matrix(spark):
     long = spark.createDataFrame(
         [("a", "x", 1.0), ("a", "y", None), ("b", "No taxa found", 0.0), ("c", "y", 4.0)], "k string, n string, v double"
