@@ -66,6 +66,27 @@ def only_periods(grid: DataFrame, points: DataFrame, *periods: str) -> DataFrame
     return grid.filter(F.array_contains(wanted.scalar(), F.struct(*periods)))
 
 
+def join_windows(cells: DataFrame, layers: DataFrame, by: Sequence[str], lon_axis: RegularAxis, lat_axis: RegularAxis, n: int) -> DataFrame:
+    """Every cell (``by``, ``_x``, ``_y``) with the grid rows of its n x n window, as an equi-join on tiles.
+
+    The index plane is cut into tiles of n x n nodes.  A window reaches at most two tiles on either
+    axis, so a cell is four rows at most whatever n is, and a grid row is one.
+    """
+    if n == 1:
+        return cells.withColumns({"lon_idx": F.col("_x"), "lat_idx": F.col("_y")}).join(layers, [*by, "lon_idx", "lat_idx"])
+    side = F.lit(float(n))
+    corner = {"_x0": F.col("_x") - n // 2, "_y0": F.col("_y") - n // 2}
+
+    def reached(first: str) -> Column:
+        return F.explode(F.sequence(F.floor(F.col(first) / side), F.floor((F.col(first) + n - 1) / side)))
+
+    asked = cells.withColumns(corner).withColumn("_tx", reached("_x0")).withColumn("_ty", reached("_y0"))
+    inside = F.col("lon_idx").between(0, lon_axis.size - 1) & F.col("lat_idx").between(0, lat_axis.size - 1)
+    tiled = layers.filter(inside).withColumns({"_tx": F.floor(F.col("lon_idx") / side), "_ty": F.floor(F.col("lat_idx") / side)})
+    near = F.col("lon_idx").between(F.col("_x0"), F.col("_x0") + n - 1) & F.col("lat_idx").between(F.col("_y0"), F.col("_y0") + n - 1)
+    return asked.join(tiled, [*by, "_tx", "_ty"]).filter(near)
+
+
 def match_grid(
     points: DataFrame, grid: DataFrame, *, lon: str, lat: str, lon_axis: RegularAxis, lat_axis: RegularAxis,
     products: Mapping[str, str], period: str | None = None, res_spat: int = 1, value: str = "value",
@@ -81,18 +102,8 @@ def match_grid(
     by = [period] if period else []
     located = with_cell(points, lon, lat, lon_axis, lat_axis)
     cells = located.select(*by, "_x", "_y").distinct()
-    window = cells.withColumns({"lon_idx": F.col("_x"), "lat_idx": F.col("_y")})
-    if res_spat > 1:
-        half = res_spat // 2
-        span = F.sequence(F.lit(-half), F.lit(res_spat - 1 - half))
-        window = (
-            cells.withColumn("_dx", F.explode(span)).withColumn("_dy", F.explode(span))
-            .withColumns({"lon_idx": F.col("_x") + F.col("_dx"), "lat_idx": F.col("_y") + F.col("_dy")})
-            .filter(F.col("lon_idx").between(0, lon_axis.size - 1) & F.col("lat_idx").between(0, lat_axis.size - 1))
-            .drop("_dx", "_dy")
-        )
     layers = only_periods(grid.filter(F.col("product").isin(*products.values())), points, *by)
-    means = window.join(layers, [*by, "lon_idx", "lat_idx"]).groupBy(*by, "_x", "_y").agg(*[
+    means = join_windows(cells, layers, by, lon_axis, lat_axis, res_spat).groupBy(*by, "_x", "_y").agg(*[
         F.avg(nan_to_null(F.when(F.col("product") == name, F.col(value)))).alias(out)
         for out, name in products.items()
     ])
@@ -125,14 +136,8 @@ def match_altimetry(
     by = [year, grid_doy]
     cells = located.select(*by, "_x", "_y").distinct()
     half = res_spat // 2
-    span = F.sequence(F.lit(-half), F.lit(res_spat - 1 - half))
-    window = (
-        cells.withColumn("_dx", F.explode(span)).withColumn("_dy", F.explode(span))
-        .select(*by, "_x", "_y", (F.col("_x") + F.col("_dx")).alias("lon_idx"), (F.col("_y") + F.col("_dy")).alias("lat_idx"))
-        .filter(F.col("lon_idx").between(0, lon_axis.size - 1) & F.col("lat_idx").between(0, lat_axis.size - 1))
-    )
     layers = only_periods(grid, nearest, *by)
-    means = window.join(layers, [*by, "lon_idx", "lat_idx"]).groupBy(*by, "_x", "_y").agg(
+    means = join_windows(cells, layers, by, lon_axis, lat_axis, res_spat).groupBy(*by, "_x", "_y").agg(
         *[F.avg(nan_to_null(F.col(m))).alias(m) for m in measures]
     )
     return located.join(means, [*by, "_x", "_y"], "left").select(

@@ -116,6 +116,22 @@ def test_window_means(spark):
             assert r["m"] == (pytest.approx(np.mean(cells)) if cells else None)
 
 
+@pytest.mark.parametrize("n", [2, 3, 10])
+def test_a_window_is_four_rows(spark, n):
+    """Windows equal the n x n rows written out, and a cell is sent as four rows at most."""
+    axis = RegularAxis(0.0, 1.0, 25)
+    layer = spark.range(625).select((F.col("id") % 25).cast("int").alias("lon_idx"), F.floor(F.col("id") / 25).cast("int").alias("lat_idx"), "id")
+    cells = layer.select(F.col("lon_idx").alias("_x"), F.col("lat_idx").alias("_y"))
+    got = gridmatch.join_windows(cells, layer, [], axis, axis, n)
+    span = F.sequence(F.lit(-(n // 2)), F.lit(n - 1 - n // 2))
+    written = cells.withColumn("dx", F.explode(span)).withColumn("dy", F.explode(span)).select("_x", "_y", (F.col("_x") + F.col("dx")).alias("lon_idx"), (F.col("_y") + F.col("dy")).alias("lat_idx"))
+    want = written.join(layer, ["lon_idx", "lat_idx"])
+    columns = ["_x", "_y", "lon_idx", "lat_idx", "id"]
+    assert got.select(columns).exceptAll(want.select(columns)).isEmpty() and want.select(columns).exceptAll(got.select(columns)).isEmpty()
+    sent = got.select("_x", "_y", "_tx", "_ty").distinct().groupBy("_x", "_y").count().agg(F.max("count")).first()[0]
+    assert sent <= 4
+
+
 def test_missing_period_is_null(spark):
     points = spark.createDataFrame([(1, 0.0, 0.0, "a"), (2, 0.0, 0.0, "b"), (3, 0.0, 0.0, None)], "id int, x double, y double, period string")
     layers = lattice(spark).withColumn("period", F.lit("a"))
