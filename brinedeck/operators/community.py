@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -153,8 +154,10 @@ def factor_fit(scores: DataFrame, *, axes: tuple[str, str], factor: str) -> Data
 MIX_PRIME = 2_147_483_647
 MIX_RANK, MIX_DRAW, MIX_ROUND = 1_103_515_245, 69_069, 1_664_525
 ROUNDS = 6
-#: Tasks among which the permutations are divided.
+#: Tasks among which the permutations of few rows are divided.
 DRAWS_APART = 32
+#: Ranks of a block; a task holds two blocks, the rows that keep their place and those that are sent.
+BLOCK = 1 << 20
 
 
 def rank_square(n: int) -> tuple[int, int, int]:
@@ -165,30 +168,48 @@ def rank_square(n: int) -> tuple[int, int, int]:
     return a, b, a * b - n
 
 
-def permuted_rank(df: DataFrame, n: int, rank: str = "rank", draw: str = "k", out: str = "slot") -> DataFrame:
-    """Add ``out``: where permutation ``draw`` sends ``rank`` (both from 0), a bijection on 0..n-1 for every draw.
+def _sent(rank: np.ndarray, draw: int, n: int) -> np.ndarray:
+    """Where permutation ``draw`` sends ranks from 0: a bijection on 0..n-1 for every draw.
 
     Ranks are places in a rectangle; each round moves the row by a hash of the column, then the
     column by a hash of the row, which can be undone, so every round is a bijection on the rectangle.
-    A rank sent to a place that is left over goes on from there; as many times as
-    places are left over always suffice.
+    A rank sent to a place that is left over goes on from there until it is sent to one of the n.
     """
-    a, b, extra = rank_square(n)
+    a, b, _ = rank_square(n)
+
+    def shifts(size: int, turn: int, side: int) -> np.ndarray:
+        y = (np.arange(size, dtype=np.int64) * MIX_RANK + draw * MIX_DRAW + turn * MIX_ROUND) % MIX_PRIME
+        return (y * y) % MIX_PRIME % side
+
+    by_column = [shifts(b, 2 * turn, a) for turn in range(ROUNDS)]
+    by_row = [shifts(a, 2 * turn + 1, b) for turn in range(ROUNDS)]
 
-    def mixed(value: Column, turn: int) -> Column:
-        y = (value * MIX_RANK + F.col(draw) * MIX_DRAW + turn * MIX_ROUND) % MIX_PRIME
-        return (y * y) % MIX_PRIME
+    def moved(place: np.ndarray) -> np.ndarray:
+        row, col = np.divmod(place, b)
+        for columns, rows in zip(by_column, by_row):
+            row += columns[col]
+            row -= a * (row >= a)
+            col += rows[row]
+            col -= b * (col >= b)
+        return row * b + col
 
-    state = df.withColumn(out, F.col(rank).cast("long")).withColumn(draw, F.col(draw).cast("long"))
-    for walk in range(extra + 1):
-        moved = state.withColumns({"_row": F.floor(F.col(out) / b), "_col": F.col(out) % b})
-        for turn in range(ROUNDS):
-            moved = moved.withColumn("_row", (F.col("_row") + mixed(F.col("_col"), 2 * turn)) % a)
-            moved = moved.withColumn("_col", (F.col("_col") + mixed(F.col("_row"), 2 * turn + 1)) % b)
-        sent = F.col("_row") * b + F.col("_col")
-        state = moved.withColumn(out, sent if walk == 0 else F.when(F.col(out) >= n, sent).otherwise(F.col(out))).drop("_row", "_col")
-    # never null, and so declared: a join's null check would else be pushed through all rounds and grow with each
-    return state.withColumn(out, F.coalesce(out, F.lit(0)))
+    out = moved(rank.astype(np.int64))
+    while len(over := np.flatnonzero(out >= n)):
+        out[over] = moved(out[over])
+    return out
+
+
+def permuted_rank(df: DataFrame, n: int, rank: str = "rank", draw: str = "k", out: str = "slot") -> DataFrame:
+    """Add ``out``: where permutation ``draw`` sends ``rank`` (both from 0), as ``_sent`` has it."""
+
+    @F.pandas_udf("long")
+    def sent(ranks: pd.Series, draws: pd.Series) -> pd.Series:
+        slots, places, numbers = np.empty(len(ranks), dtype=np.int64), ranks.to_numpy(), draws.to_numpy()
+        for k in np.unique(numbers):
+            slots[numbers == k] = _sent(places[numbers == k], int(k), n)
+        return pd.Series(slots)
+
+    return df.withColumn(out, sent(F.col(rank).cast("long"), F.col(draw).cast("long"))).withColumn(draw, F.col(draw).cast("long"))
 
 
 def _ranked(rows: DataFrame, key: str) -> DataFrame:
@@ -198,29 +219,77 @@ def _ranked(rows: DataFrame, key: str) -> DataFrame:
     return ranked.withColumn("rank", F.col("rank") - 1).drop("_h", "_b")
 
 
-def _shuffled(rows: DataFrame, key: str, fixed: Sequence[str], moved: Sequence[str], permutations: int) -> DataFrame:
-    """For each k from 1 on, the ``fixed`` columns of every row with the ``moved`` columns of the row that the permutation names."""
+def _permuted(
+    rows: DataFrame, n: int, key: str, permutations: int, sums: Callable[[pa.Table, Iterator[tuple[int, np.ndarray, np.ndarray]]], pa.Table], schema: str, block: int,
+) -> DataFrame:
+    """What ``sums`` makes of the rows of a tile and, for each k, of the rows that keep their place and those sent there.
+
+    Ranks are cut into blocks, and a tile is a block that keeps its places, a block that is sent and
+    a hand of the permutations. The permutations are made in the tile and added up there, so rows are
+    sent once a tile, not once a permutation, and results are sums by k. With more than one block a
+    permutation is made anew for each block that is sent: the work of sites beyond ``block`` grows
+    with their square, and memory does not grow.
+    """
+    blocks = max(1, -(-n // block))
+    hands = max(1, min(permutations, -(-DRAWS_APART // blocks**2)))
     ranked = _ranked(rows, key)
-    n = rows.count()
-    hands = min(permutations, DRAWS_APART)  # few rows are sent, and the draws of a row are made in so many tasks
-    apart = ranked.select("rank", *fixed).withColumn("_hand", F.explode(F.sequence(F.lit(1), F.lit(hands)))).repartition(hands, "_hand")
-    every = apart.withColumn("k", F.explode(F.sequence("_hand", F.lit(permutations), F.lit(hands)))).drop("_hand")
-    slots = ranked.select(F.col("rank").alias("slot"), *moved)
-    return permuted_rank(every, n).join(slots, "slot") if n else every.limit(0).crossJoin(slots.limit(0))
+    own, other = F.floor(F.col("rank") / block).cast("int"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    tiles = ranked.withColumn("_i", own).withColumn("_j", other)
+    if blocks > 1:
+        tiles = tiles.unionByName(ranked.withColumn("_j", own).withColumn("_i", other).filter("_i <> _j"))
+    dealt = tiles.withColumn("_hand", F.explode(F.sequence(F.lit(1), F.lit(hands)))).repartition(blocks * blocks * hands, "_i", "_j", "_hand")
+
+    def tile(table: pa.Table) -> pa.Table:
+        i, j, hand = (table[c][0].as_py() for c in ("_i", "_j", "_hand"))
+        rank = table["rank"].to_numpy()
+        fixed, moved = np.flatnonzero(rank // block == i), np.flatnonzero(rank // block == j)
+        row_of = np.empty(len(moved), dtype=np.int64)
+        row_of[rank[moved] - j * block] = moved
+
+        def draws() -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+            for k in range(hand, permutations + 1, hands):
+                slot = _sent(rank[fixed], k, n)
+                here = np.flatnonzero(slot // block == j)
+                yield k, fixed[here], row_of[slot[here] - j * block]
+
+        return sums(table, draws())
+
+    return dealt.groupBy("_i", "_j", "_hand").applyInArrow(tile, schema)
 
 
 def env_fit_test(
-    scores: DataFrame, *, key: str, axes: tuple[str, str], variables: Sequence[str], permutations: int = 1000,
+    scores: DataFrame, *, key: str, axes: tuple[str, str], variables: Sequence[str], permutations: int = 1000, block: int = BLOCK,
 ) -> DataFrame:
     """R2 of each variable with its permutation p-value, (1 + hits) / (permutations + 1).
 
     Sites are ranked once.  Permutation k is a keyed bijection on ranks, so no permutation is
-    sorted or hashed into order, and the permuted fits come out of one aggregation by k.
+    sorted or hashed into order.  Only the products of axes and variables change with it: they are
+    summed about the means, and the other moments are those observed.
     """
+    u, v = axes
+    variables = list(variables)
     rows = scores.select(key, *axes, *variables).dropna()
-    shuffled = _shuffled(rows, key, axes, variables, permutations)
-    permuted = _fit_rows(shuffled.groupBy("k").agg(*_moments(axes, variables)), variables, ["k"])
-    observed = _fit_rows(rows.agg(*_moments(axes, variables)), variables, [])
+    means = rows.agg(F.count(F.lit(1)), *[F.avg(c) for c in (*axes, *variables)]).first()
+    centred = rows.select(key, *[(F.col(c) - F.lit(m).cast("double")).alias(c) for c, m in zip((*axes, *variables), means[1:])])
+    products = [(f"_{side}_{z}", axis, z) for z in variables for side, axis in (("u", u), ("v", v))]
+
+    def sums(table: pa.Table, draws: Iterator[tuple[int, np.ndarray, np.ndarray]]) -> pa.Table:
+        value = {c: table[c].to_numpy() for c in (*axes, *variables)}
+        found: dict[str, list] = {"k": [], **{name: [] for name, _, _ in products}}
+        for k, kept, sent in draws:
+            at, of = {c: value[c][kept] for c in axes}, {z: value[z][sent] for z in variables}
+            found["k"].append(k)
+            for name, axis, z in products:
+                found[name].append(float(at[axis] @ of[z]))
+        return pa.table({c: pa.array(x, pa.int64() if c == "k" else pa.float64()) for c, x in found.items()})
+
+    schema = ", ".join(["k long", *[f"`{name}` double" for name, _, _ in products]])
+    parts = _permuted(centred, means[0], key, permutations, sums, schema, block)
+    moments = rows.agg(*_moments(axes, variables))
+    still = moments.select("_uu", "_vv", "_uv", *[f"_z_{z}" for z in variables])
+    moved = parts.groupBy("k").agg(*[(F.sum(name) / means[0]).alias(name) for name, _, _ in products]) if means[0] else parts
+    permuted = _fit_rows(moved.crossJoin(F.broadcast(still)), variables, ["k"])
+    observed = _fit_rows(moments, variables, [])
     one_row_per_variable = F.broadcast(observed.select("variable", F.col("r2").alias("_r2")))
     hits = permuted.join(one_row_per_variable, "variable").groupBy("variable").agg(
         F.count_if(F.col("r2") >= F.col("_r2") - 1e-12).alias("hits")
@@ -230,18 +299,44 @@ def env_fit_test(
     )
 
 
-def factor_fit_test(scores: DataFrame, *, key: str, axes: tuple[str, str], factor: str, permutations: int = 1000) -> DataFrame:
+def factor_fit_test(
+    scores: DataFrame, *, key: str, axes: tuple[str, str], factor: str, permutations: int = 1000, block: int = BLOCK,
+) -> DataFrame:
     """R2 of a factor with its permutation p-value: levels are dealt anew to the sites, which keep their places."""
     u, v = axes
     rows = scores.select(key, u, v, factor).dropna()
+    n = rows.count()
 
-    def r2(of: DataFrame, by: Sequence[str]) -> DataFrame:
-        levels = of.groupBy(*by, factor).agg(F.count(F.lit(1)).alias("n"), F.sum(u).alias("_su"), F.sum(v).alias("_sv"), F.sum(F.col(u) * F.col(u) + F.col(v) * F.col(v)).alias("_ss"))
-        inner = F.sum((F.col("_su") * F.col("_su") + F.col("_sv") * F.col("_sv")) / F.col("n"))
-        centre = (F.sum("_su") * F.sum("_su") + F.sum("_sv") * F.sum("_sv")) / F.sum("n")
-        return levels.groupBy(*by).agg(ratio(inner - centre, F.sum("_ss") - centre).alias("r2"))
-
-    observed = r2(rows, [])
-    permuted = r2(_shuffled(rows, key, axes, [factor], permutations), ["k"])
+    def levels(of: DataFrame, by: Sequence[str], count: Column, su: Column, sv: Column) -> DataFrame:
+        return of.groupBy(*by, factor).agg(count.alias("n"), su.alias("_su"), sv.alias("_sv"))
+
+    def inner(of: DataFrame, by: Sequence[str]) -> DataFrame:
+        return of.groupBy(*by).agg(F.sum((F.col("_su") * F.col("_su") + F.col("_sv") * F.col("_sv")) / F.col("n")).alias("_inner"))
+
+    def sums(table: pa.Table, draws: Iterator[tuple[int, np.ndarray, np.ndarray]]) -> pa.Table:
+        coded = table[factor].combine_chunks().dictionary_encode()
+        level, x, y = coded.indices.to_numpy(), table[u].to_numpy(), table[v].to_numpy()
+        found = []
+        for k, kept, sent in draws:
+            dealt = level[sent]
+            counts, su, sv = (np.bincount(dealt, weights=w, minlength=len(coded.dictionary)) for w in (None, x[kept], y[kept]))
+            some = np.flatnonzero(counts)
+            found.append(pa.table({
+                "k": np.full(len(some), k, dtype=np.int64), factor: coded.dictionary.take(pa.array(some)), "n": counts[some].astype(np.int64), "_su": su[some].astype(float), "_sv": sv[some].astype(float),
+            }))
+        return pa.concat_tables(found)
+
+    level_type = rows.schema[factor].dataType.simpleString()
+    cast = rows.select(key, F.col(u).cast("double").alias(u), F.col(v).cast("double").alias(v), factor)
+    parts = _permuted(cast, n, key, permutations, sums, f"k long, `{factor}` {level_type}, n long, _su double, _sv double", block)
+    square = F.col(u) * F.col(u) + F.col(v) * F.col(v)
+    whole = rows.agg(F.sum(u).alias("_u"), F.sum(v).alias("_v"), F.sum(square).alias("_ss"), F.count(F.lit(1)).alias("_n")).select(
+        "_ss", ((F.col("_u") * F.col("_u") + F.col("_v") * F.col("_v")) / F.col("_n")).alias("_centre"),
+    )
+    r2 = ratio(F.col("_inner") - F.col("_centre"), F.col("_ss") - F.col("_centre")).alias("r2")
+    seen = inner(levels(rows, [], F.count(F.lit(1)), F.sum(u), F.sum(v)), [])
+    observed = seen.crossJoin(F.broadcast(whole)).select(r2)
+    drawn = inner(levels(parts, ["k"], F.sum("n"), F.sum("_su"), F.sum("_sv")), ["k"])
+    permuted = drawn.crossJoin(F.broadcast(whole)).select("k", r2)
     hits = permuted.withColumn("_r2", observed.scalar()).agg(F.count_if(F.col("r2") >= F.col("_r2") - 1e-12).alias("hits"))
     return observed.withColumn("hits", hits.scalar()).select("r2", "hits", ((F.col("hits") + 1) / F.lit(float(permutations + 1))).alias("p_value"))

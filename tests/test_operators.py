@@ -294,6 +294,35 @@ def test_factor_with_an_effect_is_told_from_one_without(spark):
     assert strong["r2"] == pytest.approx(community.factor_fit(df, axes=("u", "v"), factor="f").first()["r2"])
 
 
+def test_permutations_cost_the_driver_the_same_for_any_number_of_sites(spark):
+    """10051 ranks leave six places of their rectangle over, 500 none: the plans are equally long."""
+    few, many = (
+        len(community.permuted_rank(spark.range(3).select(F.col("id").alias("rank"), F.lit(1).alias("k")), n)._jdf.queryExecution().optimizedPlan().toString())
+        for n in (500, 10051)
+    )
+    assert community.rank_square(500)[2] == 0 and community.rank_square(10051)[2] == 6
+    assert many <= few + 20
+
+
+def test_permutation_tests_are_the_same_in_blocks(spark):
+    """Sites cut into several blocks meet the same partners as in one, and as the permuted ranks name."""
+    rng = np.random.default_rng(4)
+    frame = pd.DataFrame({"id": range(97), "u": rng.normal(size=97) + 5, "v": rng.normal(size=97), "z": rng.normal(size=97), "f": [f"{i % 3}" for i in range(97)]})
+    df = spark.createDataFrame(frame)
+    ranks = community._ranked(df, "id").toPandas().sort_values("rank")
+    x = np.column_stack([np.ones(97), ranks["u"], ranks["v"]])
+
+    def fit(z):
+        return 1 - (z - x @ np.linalg.lstsq(x, z, rcond=None)[0]).var() / z.var()
+
+    z = ranks["z"].to_numpy()
+    hits = sum(fit(z[community._sent(np.arange(97), k, 97)]) >= fit(z) - 1e-12 for k in range(1, 100))
+    test = lambda block: community.env_fit_test(df, key="id", axes=("u", "v"), variables=["z"], permutations=99, block=block).select("variable", "hits").first()
+    assert test(1 << 20) == test(40) == ("z", hits)
+    factor = lambda block: community.factor_fit_test(df, key="id", axes=("u", "v"), factor="f", permutations=99, block=block).first()
+    assert factor(1 << 20)["hits"] == factor(40)["hits"] and 0 < factor(40)["hits"] <= 99
+
+
 def test_draws_repeat_and_follow_the_seed(spark):
     few = spark.range(7).withColumn("v", F.col("id") * 10)
     got = quality.draw_rows(few, 500, ["id"], digits=1)
