@@ -169,3 +169,20 @@ def test_dims_merge_samples(spark):
         samples, obs, log, level="name", key="trip", date="date", name="name", value="v", placeholder="none", dims=["station", "date"],
     )
     assert rows(out.select("station", "name", F.col("v"))) == [("A", "N", 4.0)]
+
+
+def test_a_task_holds_a_bounded_number_of_samples(spark, monkeypatch):
+    from brinedeck.operators import taxa as ops
+
+    monkeypatch.setattr(ops, "SAMPLES_TOGETHER", 10)
+    assert ops._parts(spark.range(95)) == 10
+
+
+def test_matrix_needs_no_row_per_key_and_name(spark):
+    from brinedeck.operators import taxa as ops
+
+    long = spark.createDataFrame([(1, "a", 1.0), (1, "a", 2.0), (1, "b", None), (2, "c", 5.0), (3, None, 4.0)], "k int, name string, v double")
+    wide = ops.to_matrix(long, ["k"], "name", "v", names=["a", "b"])
+    assert "pivotfirst" not in wide._jdf.queryExecution().executedPlan().toString()
+    assert sorted(tuple(r) for r in wide.select("k", "a").collect()) == [(1, 3.0), (2, 0.0), (3, 0.0)]
+    assert [r["b"] for r in wide.orderBy("k").collect()] == [None, 0.0, 0.0]
