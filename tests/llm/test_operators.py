@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import xxhash
@@ -427,6 +428,27 @@ def test_backoff_equals_brute_force(spark, docs, texts, empty, order):
     assert backoff.backoff_scores(empty, order=order).count() == 0
 
 
+def test_backoff_tallies_by_slices_and_packs_small():
+    """n-grams of many slices add up to those of one, and what is sent of texts and answers is well below their size."""
+    texts = [" ".join(f"w{(a * b) % 97}" for a in range(40)) for b in range(300)] + [None, "", "one"]
+    whole = Counter()
+    for gram, inside in backoff.grams(*backoff.word_keys(texts), 2):
+        whole.update(gram[inside].tolist())
+    assert len(list(backoff.slices(texts, 500))) > 20 and sum(backoff.slices(texts, 500), []) == texts
+    parts = [([t], dict(zip(*(x.tolist() for x in backoff.tally([t], 2))))) for t in texts]
+    merged = Counter()
+    for _, part in parts:
+        merged.update(part)
+    known, count = backoff.tally(texts, 2)
+    assert dict(zip(known.tolist(), count.tolist())) == whole == merged and (np.diff(known) > 0).all()
+    rows = pa.RecordBatch.from_pydict({"block": [k % 3 for k in range(len(texts))], "doc_id": [None, *range(1, len(texts))], "text": texts})
+    packs = pa.Table.from_batches(backoff.pack_blocks(iter([rows, rows])))
+    assert packs["block"].to_pylist() == [0, 1, 2] and sum(map(len, packs["packed"].to_pylist())) < rows.nbytes / 2
+    mine = backoff.unpacked(packs.slice(1, 1))
+    assert mine["text"].to_pylist() == texts[1::3] * 2 and mine["doc_id"].to_pylist() == list(range(1, len(texts), 3)) * 2
+    assert backoff.unpacked(packs.slice(0, 1))["doc_id"].to_pylist()[0] is None
+
+
 def toxic_corpus(spark, n=900):
     rng = random.Random(2)
     word = lambda: "".join(rng.choice("abcdefghijklm") for _ in range(rng.randint(2, 7)))
