@@ -6,10 +6,11 @@ its cell; a node takes the weighted mean of what reaches it. The next level fits
 and the surface is the sum of all levels.
 
 Everything is aggregation and equi-joins. A level reads the points once: they meet the
-surface so far by their cell (one row per point), and the 16 weighted sums of a cell are added up
+surface so far by their group (one row per point), and the 16 weighted sums of a cell are added up
 before anything is sent. The surface so far is always one lattice, since a coarse level
 is refined to the next one's nodes by the midpoint rule of cubic B-splines, so the work per level
-does not grow with the levels before. Lattices are bounded by the arguments, not by the points.
+does not grow with the levels before. Lattices are bounded by the arguments, not by the points: a group's is one
+row with the values of all its nodes, and what is done with nodes stays in the partition of the group.
 """
 
 from __future__ import annotations
@@ -58,59 +59,85 @@ def _renamed(df: DataFrame, columns: Sequence[str], prefix: str) -> DataFrame:
     return df.select(*[F.col(c).alias(prefix + c if c in columns else c) for c in df.columns])
 
 
-def cell_nodes(nodes: DataFrame, by: Sequence[str], nx: int, ny: int) -> DataFrame:
-    """The 16 nodes around each cell as an array ``c``; nodes that are not there are 0."""
-    place = F.explode(F.sequence(F.lit(0), F.lit(15))).alias("p")
-    around = nodes.select(*by, "a", "b", "phi", place).withColumns({"i": F.col("a") - F.floor(F.col("p") / 4).cast("int"), "j": F.col("b") - F.col("p") % 4})
-    inside = around.filter(F.col("i").between(0, nx - 1) & F.col("j").between(0, ny - 1))
-    each = [F.coalesce(F.sum(F.when(F.col("p") == p, F.col("phi"))), F.lit(0.0)) for p in range(16)]
-    return inside.groupBy(*by, "i", "j").agg(F.array(*each).alias("c"))
+def _packed(nodes: DataFrame, by: Sequence[str], ny: int) -> DataFrame:
+    """One row per group with ``phi``, the values of all nodes (a, b) of a whole lattice in order."""
+    placed = nodes.select(*by, F.struct((F.col("a") * (ny + 3) + F.col("b")).alias("k"), "phi").alias("w"))
+    return placed.groupBy(*by).agg(F.sort_array(F.collect_list("w"))["phi"].alias("phi"))
+
+
+def _read(points: DataFrame, lattices: DataFrame, by: Sequence[str], nx: int, ny: int) -> DataFrame:
+    """Add ``f``, the surface of the group's lattice (``phi``) at each point."""
+    met = _placed(points, nx, ny).join(_renamed(lattices, by, "_c_"), _same(by, "_c_"), "left")
+    node = lambda p: F.get(F.col("phi"), (F.col("i") + p // 4) * (ny + 3) + F.col("j") + p % 4)
+    total = sum((w * node(p) for p, w in enumerate(_weights())), F.lit(0.0))
+    return met.withColumn("f", F.coalesce(total, F.lit(0.0))).drop("phi", "i", "j", "s", "t", *["_c_" + c for c in by])
 
 
 def _value(points: DataFrame, nodes: DataFrame, by: Sequence[str], nx: int, ny: int) -> DataFrame:
-    """Add ``f``, the surface of a lattice at each point."""
-    cells = _renamed(cell_nodes(nodes, by, nx, ny), [*by, "i", "j"], "_c_")
-    placed = _placed(points, nx, ny)
-    met = placed.join(cells, _same([*by, "i", "j"], "_c_"), "left")
-    total = sum((w * F.get(F.col("c"), F.lit(p)) for p, w in enumerate(_weights())), F.lit(0.0))
-    return met.withColumn("f", F.coalesce(total, F.lit(0.0))).drop("c", "i", "j", "s", "t", *["_c_" + c for c in (*by, "i", "j")])
+    """``_read`` for a whole lattice given as rows (a, b, phi)."""
+    return _read(points, _packed(nodes, by, ny), by, nx, ny)
 
 
-def fit_level(points: DataFrame, by: Sequence[str], nx: int, ny: int) -> DataFrame:
-    """Nodes (a, b) and values ``phi`` of one level for points (u, v in 0..1) and values z."""
+def fit_cells(points: DataFrame, by: Sequence[str], nx: int, ny: int) -> DataFrame:
+    """For each cell (i, j) with points (u, v in 0..1, value z) the weighted sums that its 16 nodes get."""
     weights = _weights()
     squares = sum((w * w for w in weights), F.lit(0.0))
     placed = _placed(points, nx, ny).withColumn("_q", F.col("z") / squares)
     sums = [F.array(*[F.sum(w * w * w * F.col("_q")) for w in weights]).alias("up"), F.array(*[F.sum(w * w) for w in weights]).alias("down")]
-    cells = placed.groupBy(*by, "i", "j").agg(*sums)
-    spread = cells.select(*by, "i", "j", F.posexplode(F.arrays_zip("up", "down")).alias("p", "w"))
-    node = {"a": F.col("i") + F.floor(F.col("p") / 4).cast("int"), "b": F.col("j") + F.col("p") % 4}
-    added = spread.withColumns(node).groupBy(*by, "a", "b").agg(F.sum("w.up").alias("_up"), F.sum("w.down").alias("_down"))
-    return added.select(*by, "a", "b", F.coalesce(F.try_divide("_up", "_down"), F.lit(0.0)).alias("phi"))
+    return placed.groupBy(*by, "i", "j").agg(*sums)
 
 
-def refine(nodes: DataFrame, by: Sequence[str], nx: int, ny: int) -> DataFrame:
+def _refined(phi: Column, nx: int, ny: int) -> Column:
     """The same surface on a lattice of twice as many cells; ``nx`` and ``ny`` are those of the coarse one."""
-    weights = F.array(*[F.lit(w) for w in REFINE])
-    step = lambda name: F.posexplode(weights).alias(f"_{name}", f"_w{name}")
-    fine = nodes.select("*", step("k")).select("*", step("m"))
     # node a of a lattice lies at place a - 1, so the middle weight belongs to the fine node 2 (a - 1) + 1
-    fine = fine.withColumns({"_a": 2 * F.col("a") + F.col("_k") - 3, "_b": 2 * F.col("b") + F.col("_m") - 3})
-    inside = fine.filter(F.col("_a").between(0, 2 * nx + 2) & F.col("_b").between(0, 2 * ny + 2))
-    return inside.groupBy(*by, F.col("_a").alias("a"), F.col("_b").alias("b")).agg(F.sum(F.col("phi") * F.col("_wk") * F.col("_wm")).alias("phi"))
+    def near(fine: Column, n: int) -> list[tuple[Column, Column]]:
+        first = F.floor((fine - 1) / 2).cast("int") + F.when(fine % 2 == 0, 1).otherwise(0)
+        ends = F.when(fine % 2 == 0, REFINE[1]).otherwise(REFINE[0])
+        middle = F.when(fine % 2 == 0, REFINE[3]).otherwise(REFINE[2])
+        last = F.when(fine % 2 == 0, 0.0).otherwise(REFINE[4])
+        return [(first, ends), (first + 1, middle), (F.least(first + 2, F.lit(n + 2)), last)]
 
+    def value(k: Column) -> Column:
+        a, b = near(F.floor(k / (2 * ny + 3)).cast("int"), nx), near(k % (2 * ny + 3), ny)
+        return sum((F.get(phi, p * (ny + 3) + q) * v * w for p, v in a for q, w in b), F.lit(0.0))
 
-def fit(points: DataFrame, by: Sequence[str], cells: tuple[int, int], levels: int) -> tuple[DataFrame, int, int]:
-    """The lattice of the whole surface, and its cells each way, for points (u, v in 0..1) and values z."""
+    return F.transform(F.sequence(F.lit(0), F.lit((2 * nx + 3) * (2 * ny + 3) - 1)), value)
+
+
+def refine(nodes: DataFrame, by: Sequence[str], nx: int, ny: int) -> DataFrame:
+    """``_refined`` for a whole lattice given as rows (a, b, phi)."""
+    fine = _packed(nodes, by, ny).select(*by, F.posexplode(_refined(F.col("phi"), nx, ny)).alias("k", "phi"))
+    return fine.select(*by, F.floor(F.col("k") / (2 * ny + 3)).cast("int").alias("a"), (F.col("k") % (2 * ny + 3)).alias("b"), "phi")
+
+
+def _added(lattices: DataFrame, cells: DataFrame, by: Sequence[str], ny: int) -> DataFrame:
+    """Lattices with what the sums of cells give added to them; all rows of a group meet in one partition, bounded by its lattice."""
+    none = F.lit(0.0)
+    kept = F.transform("phi", lambda phi, k: F.struct(k.alias("k"), phi.alias("phi"), none.alias("up"), none.alias("down")))
+    spread = F.transform(F.arrays_zip("up", "down"), lambda w, p: F.struct(
+        ((F.col("i") + F.floor(p / 4).cast("int")) * (ny + 3) + F.col("j") + p % 4).alias("k"), none.alias("phi"), w["up"].alias("up"), w["down"].alias("down"),
+    ))
+    # sums of cells are sent as they are and spread to nodes after that
+    sent = lattices.select(*by, "phi", *[F.lit(None).cast(cells.schema[c].dataType).alias(c) for c in ("i", "j", "up", "down")])
+    sent = sent.unionByName(cells.withColumn("phi", F.lit(None).cast("array<double>")))
+    sent = sent.repartition(*by) if by else sent.repartition(1)
+    entries = sent.select(*by, F.inline(F.when(F.col("i").isNotNull(), spread).otherwise(kept)))
+    nodes = entries.groupBy(*by, "k").agg(*[F.sum(c).alias(c) for c in ("phi", "up", "down")])
+    total = F.col("phi") + F.coalesce(F.try_divide("up", "down"), none)
+    return nodes.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("k", total.alias("phi"))))["phi"].alias("phi"))
+
+
+def fit(points: DataFrame, groups: DataFrame, by: Sequence[str], cells: tuple[int, int], levels: int) -> tuple[DataFrame, int, int]:
+    """The lattice of the whole surface of each group, and its cells each way, for points (u, v in 0..1) and values z."""
     nx, ny = cells
-    nodes = settled(fit_level(points, by, nx, ny))
+    flat = groups.select(*by, F.array_repeat(F.lit(0.0), (nx + 3) * (ny + 3)).alias("phi"))
+    lattices = settled(_added(flat, fit_cells(points, by, nx, ny), by, ny))
     for _ in range(levels - 1):
-        left = _value(points, nodes, by, nx, ny).withColumn("z", F.col("z") - F.col("f")).drop("f")
-        finer = refine(nodes, by, nx, ny)
+        left = _read(points, lattices, by, nx, ny).withColumn("z", F.col("z") - F.col("f")).drop("f")
+        finer = lattices.withColumn("phi", _refined(F.col("phi"), nx, ny))
         nx, ny = 2 * nx, 2 * ny
-        both = finer.unionByName(fit_level(left, by, nx, ny))
-        nodes = settled(both.groupBy(*by, "a", "b").agg(F.sum("phi").alias("phi")))
-    return nodes, nx, ny
+        lattices = settled(_added(finer, fit_cells(left, by, nx, ny), by, ny))
+    return lattices, nx, ny
 
 
 def fitted_surface(
@@ -129,10 +156,10 @@ def fitted_surface(
     ends = rows.groupBy(*by).agg(F.min("_x").alias("_x0"), F.max("_x").alias("_x1"), F.min("_y").alias("_y0"), F.max("_y").alias("_y1")).filter("_x0 is not null")
     scaled = lambda c: F.coalesce(F.try_divide(F.col(f"_{c}") - F.col(f"_{c}0"), F.col(f"_{c}1") - F.col(f"_{c}0")), F.lit(0.0))
     points = rows.join(_renamed(ends, by, "_e_"), _same(by, "_e_")).select(*by, scaled("x").alias("u"), scaled("y").alias("v"), F.col("_z").alias("z"))
-    nodes, cx, cy = fit(points, by, cells, levels)
+    lattices, cx, cy = fit(points, ends, by, cells, levels)
     line = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     grid = ends.withColumn("x_idx", line(nx)).withColumn("y_idx", line(ny))
     grid = grid.withColumns({"u": F.col("x_idx") / (nx - 1), "v": F.col("y_idx") / (ny - 1)})
     at = lambda c, w: F.col(f"_{c}0") + (F.col(f"_{c}1") - F.col(f"_{c}0")) * F.col(w)
-    told = _value(grid, nodes, by, cx, cy)
+    told = _read(grid, lattices, by, cx, cy)
     return told.select(*by, "x_idx", "y_idx", at("x", "u").alias(x), at("y", "v").alias(y), F.col("f").alias(value))

@@ -91,3 +91,13 @@ def test_no_nested_loop(spark):
     df = spark.createDataFrame([("a", 1.0, 2.0, 5.0)], "site string, x double, y double, z double").withColumn("z", F.col("z") + F.rand(1) * 0)
     plan = surface.fitted_surface(df, x="x", y="y", value="z", by=["site"], nx=3, ny=3, levels=2)._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "CartesianProduct" not in plan
+
+
+def test_nodes_stay_with_their_group(spark):
+    """Adding a level sends sums of cells and lattices once: no exchange of nodes."""
+    points = spark.createDataFrame([("a", 0.1, 0.2, 5.0), (None, 0.5, 0.9, 1.0)], "site string, u double, v double, z double")
+    lattices = points.groupBy("site").agg(F.array(*[F.sum("z")] * 20).alias("phi"))
+    added = surface._added(lattices, surface.fit_cells(points, ["site"], 1, 2), ["site"], 2)
+    plan = added._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 3
+    assert {r["site"]: len(r["phi"]) for r in added.collect()} == {"a": 20, None: 20}
